@@ -62,10 +62,10 @@ OP8_SQL = r"""
 WITH docs AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
 split AS (SELECT n, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM docs),
 counts AS (
-  SELECT n, doc_id, len(w) AS n_words, list_sum(list_transform(w, x -> length(x))) AS word_chars,
+  SELECT n, doc_id, len(w) AS n_words, list_sum(list_transform(w, lambda x: length(x))) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
-         len(list_filter(w, x -> regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Z]') AND NOT regexp_matches(x, '[a-z]'))) AS n_upper
   FROM split
 ), words AS (SELECT n, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM split),
 windows AS (
