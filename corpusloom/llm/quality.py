@@ -97,7 +97,7 @@ BASE_RULES = (
 )
 #: Marks of machine-made rubbish: set well outside what prose, lists and tables of figures show.
 EXTRA_RULES = (
-    Rule("symbols", lambda d: 2 * d.n_symbols > d.n_words),
+    Rule("symbols", lambda d: 10 * d.n_symbols > 3 * d.n_words),
     Rule("duplicate_lines", lambda d: 2 * d.n_dup_lines > d.n_lines),
     Rule("long_words", lambda d: d.word_chars > 18 * d.n_words),
     Rule("short_words", lambda d: 2 * d.word_chars < 3 * d.n_words),

@@ -84,7 +84,7 @@ cover AS (
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 2 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > 3 * n_words OR 2 * n_dup_lines > n_lines
             OR word_chars > 18 * n_words OR 2 * word_chars < 3 * n_words OR 10 * n_upper > 8 * n_words) AS kept
 FROM measured
 """
