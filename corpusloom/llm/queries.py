@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import prefix_counts, quality, url_filter
+from corpusloom.llm import jaccard_join, prefix_counts, quality, url_filter
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 URL_RULES = (
@@ -51,6 +51,32 @@ SELECT page_id, host, path, rule, coalesce(said, 'allow') AS verdict FROM number
 """
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_classes(_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g
+  FROM split
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+overlaps AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM overlaps JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 90 * (x.n + y.n - both)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
+degree AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, coalesce(n_links, 0)::BIGINT AS n_links
+FROM low LEFT JOIN sizes USING (doc_id) LEFT JOIN degree USING (doc_id)
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = quality.quality_cascade(_table(spark, sf_dir, "documents"), measures=names)
@@ -96,7 +122,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op8_quality_rules": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op8_quality_rules": OP8_SQL}
