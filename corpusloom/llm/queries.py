@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard_join, prefix_counts, quality, url_filter
+from corpusloom.llm import jaccard_join, mixing, packing, prefix_counts, quality, url_filter
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 URL_RULES = (
@@ -64,10 +64,10 @@ WITH RECURSIVE split AS (
     ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g
   FROM split
 ), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
-overlaps AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
-  SELECT a, b FROM overlaps JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * both >= 90 * (x.n + y.n - both)
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 90 * (x.n + y.n - k)
 ), reach AS (
   SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
 ), low AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id),
@@ -77,6 +77,64 @@ FROM low LEFT JOIN sizes USING (doc_id) LEFT JOIN degree USING (doc_id)
 """
 
 
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_table(spark, sf_dir, "documents"), budget_share=1.0, entropy_share=0.5, max_repeats=4.0, seed=7)
+
+
+OP3_SQL = r"""
+WITH RECURSIVE toks AS (
+  SELECT doc_id AS id, source, md5(text) AS digest, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n FROM documents
+), rows_ AS (SELECT id, source, digest, n, count(*)::BIGINT AS r FROM toks GROUP BY ALL),
+src AS (SELECT source, sum(n * r)::BIGINT AS tokens, sum(r)::BIGINT AS docs FROM rows_ GROUP BY source HAVING sum(n * r) > 0),
+tot AS (SELECT coalesce(sum(tokens), 0)::BIGINT AS t, list(tokens::DOUBLE) AS each FROM src),
+nat AS (
+  SELECT t, list_transform(each, lambda x: x / t) AS p,
+         -list_sum(list_transform(each, lambda x: x / t * ln(x / t))) AS h1, ln(len(each)) AS h0
+  FROM tot
+), search(i, low, high, rlow, rhigh, t, p, want) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE, t, p, h1 + 0.5 * (h0 - h1) FROM nat
+  UNION ALL
+  SELECT i + 1, CASE WHEN ok THEN mid ELSE low END, CASE WHEN ok THEN high ELSE mid END,
+         CASE WHEN many THEN rmid ELSE rlow END, CASE WHEN many THEN rhigh ELSE rmid END, t, p, want
+  FROM (
+    SELECT *, (low + high) / 2 AS mid, (rlow + rhigh) / 2 AS rmid,
+           ln(list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))))
+             - (low + high) / 2 * list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2) * ln(x)))
+               / list_sum(list_transform(p, lambda x: pow(x, (low + high) / 2))) >= want AS ok,
+           list_max(list_transform(p, lambda x: pow(x, (rlow + rhigh) / 2 - 1)))
+             / list_sum(list_transform(p, lambda x: pow(x, (rlow + rhigh) / 2))) > 4.0 AS many
+    FROM search WHERE i < 45
+  )
+), exponent AS (
+  SELECT CASE WHEN list_max(list_transform(p, lambda x: 1 / x)) / len(p) > 4.0 THEN greatest(low, rlow) ELSE low END AS a, p FROM search WHERE i = 45
+), targets AS (
+  SELECT source AS of_, tokens, ceil(docs / 2000.0)::BIGINT AS blocks,
+         (round(pow(tokens::DOUBLE / t, a) / list_sum(list_transform(p, lambda x: pow(x, a))) * 1000000)::HUGEINT * t // 1000000)::BIGINT AS target
+  FROM src, tot, exponent
+), keyed AS (
+  SELECT *, md5(concat_ws('|', '7', coalesce(id::VARCHAR, '~'), coalesce(digest, '~'))) AS key
+  FROM rows_ LEFT JOIN targets ON source IS NOT DISTINCT FROM of_
+), live AS (SELECT *, ('0x' || substr(key, 1, 8))::BIGINT % blocks AS block FROM keyed WHERE n > 0),
+per AS (
+  SELECT of_, block, coalesce(sum(t) OVER (PARTITION BY of_ ORDER BY md5(concat_ws('|', '7', coalesce(of_, '~'), block::VARCHAR)), block
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
+  FROM (SELECT of_, block, sum(n * r) AS t FROM live GROUP BY of_, block)
+), placed AS (
+  SELECT live.*, before_ + coalesce(sum(n * r) OVER (PARTITION BY live.of_, live.block ORDER BY key, id, digest ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         AS first_
+  FROM live JOIN per ON live.of_ IS NOT DISTINCT FROM per.of_ AND live.block = per.block
+), copies AS (SELECT *, unnest(range(r)) AS copy FROM placed),
+used AS (
+  SELECT id, source, n, block, (first_ + copy * n)::BIGINT AS pos,
+         target // tokens + CASE WHEN first_ + copy * n < target % tokens THEN 1 ELSE 0 END AS times
+  FROM copies
+)
+SELECT id AS doc_id, source, n AS n_tokens, unnest(range(times))::BIGINT AS epoch, block::BIGINT AS block, pos AS position FROM used
+UNION ALL
+SELECT id, source, n, 0, 0, 0 FROM (SELECT *, unnest(range(r)) FROM rows_ WHERE n = 0)
+"""
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = quality.quality_cascade(_table(spark, sf_dir, "documents"), measures=names)
@@ -116,6 +174,10 @@ FROM measured
 """
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), WORD_VOCABULARY, size=2048, end_id=0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.count_tokens(_table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
@@ -123,7 +185,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_mix_sources": op3_mix_sources,
     "op8_quality_rules": op8_quality_rules,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE_SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op8_quality_rules": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op2_ngram_jaccard_join": OP2_SQL, "op3_mix_sources": OP3_SQL, "op8_quality_rules": OP8_SQL}
