@@ -11,7 +11,7 @@ also to one that replaces a lost executor. Rules are configuration: the file gro
 from __future__ import annotations
 
 import struct
-import zlib
+import uuid
 from collections.abc import Iterable
 
 import numpy as np
@@ -111,12 +111,21 @@ class UrlIndex:
         return best
 
 
+#: This worker's mapped files, the last few by name.
 _open: dict[str, UrlIndex] = {}
 
 
+def opened(name: str) -> UrlIndex:
+    if name not in _open:
+        while len(_open) >= 8:
+            _open.pop(next(iter(_open)))
+        _open[name] = UrlIndex(SparkFiles.get(name))
+    return _open[name]
+
+
 def publish(spark: SparkSession, index: bytes) -> str:
     """Put the file into the shared folder, and on every executor; returns its name there."""
-    name = f"url-rules-{zlib.crc32(index):08x}-{len(index)}.idx"
+    name = f"url-rules-{uuid.uuid4().hex}.idx"
     path = f"{new_path(spark, 'rules')}/{name}"
     fs, at = filesystem(spark, path)
     out = fs.create(at, True)
@@ -137,10 +146,8 @@ def filter_urls(pages: DataFrame, rules: Iterable[tuple[str, str, str]], id_col:
     name = publish(pages.sparkSession, build_index(rules))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if name not in _open:
-            _open[name] = UrlIndex(SparkFiles.get(name))
         urls = [split_url(u) for u in batch.column("u").to_pylist()]
-        found = _open[name].judge([(h.encode(), p.encode()) for h, p in urls])
+        found = opened(name).judge([(h.encode(), p.encode()) for h, p in urls])
         return pa.record_batch(
             [
                 batch.column("i"),
