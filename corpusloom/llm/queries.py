@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard_join, mixing, packing, prefix_counts, quality, url_filter
+from corpusloom.llm import jaccard_join, lang_id, mixing, packing, ppm, prefix_counts, quality, url_filter
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 URL_RULES = (
@@ -135,6 +135,20 @@ SELECT id, source, n, 0, 0, 0 FROM (SELECT *, unnest(range(r)) FROM rows_ WHERE
 """
 
 
+def _fold(k: int):
+    """crc32 of the id as text, modulo k; a null id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % k
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return lang_id.identify(docs, _fold(3) != 1, more={"held_out": _fold(3) == 1})
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score_texts(_table(spark, sf_dir, "documents"), held_out=_fold(5) == 1)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = quality.quality_cascade(_table(spark, sf_dir, "documents"), measures=names)
@@ -186,6 +200,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_mix_sources": op3_mix_sources,
+    "op4_language_id": op4_language_id,
+    "op5_lm_scoring": op5_lm_scoring,
     "op8_quality_rules": op8_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
