@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard_join, lang_id, mixing, packing, ppm, prefix_counts, quality, url_filter
+from corpusloom.llm import ann, jaccard_join, lang_id, mixing, packing, ppm, prefix_counts, quality, secrets, url_filter
 
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 URL_RULES = (
@@ -149,6 +149,15 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score_texts(_table(spark, sf_dir, "documents"), held_out=_fold(5) == 1)
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secrets.scan(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_model")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     out = quality.quality_cascade(_table(spark, sf_dir, "documents"), measures=names)
@@ -202,6 +211,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_language_id": op4_language_id,
     "op5_lm_scoring": op5_lm_scoring,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_secret_scan": op7_secret_scan,
     "op8_quality_rules": op8_quality_rules,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_token_counts": op10_token_counts,
