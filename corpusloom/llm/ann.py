@@ -3,7 +3,7 @@
 Vectors are dealt into shards of bounded size by hash of their id, so the index holds every row. A shard has TREES
 sorted arrays of BITS-bit hash strings (signs of random projections); inner products are turned into angles by one more
 coordinate, sqrt(longest^2 - |x|^2). A query descends each tree to its longest matching prefix, and then all trees
-ascend together, one bit at a time, until the matches add up to SPREAD times the shard; on the last level, trees are
+ascend together, one bit at a time, until the matches add up to SPREAD times the shard (MATCHES at least); on the last level, trees are
 taken one after another until there are enough. All candidates are compared exactly, in double precision, and the
 shards' best are merged.
 
@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TREES, BITS, SPREAD = 128, 32, 0.6
+#: Matches gathered at least: the nearest of few rows are not very near, and most of a small shard is compared.
+MATCHES = 3000
 SHARD_ROWS = 8192
 SEED = 11
 
@@ -74,8 +76,7 @@ class Forest:
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, spread: float = SPREAD) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, scores) of up to k rows for each query, best first; ties by smaller id. Rows of its own id are left out."""
         n = len(self.ids)
-        # few rows are all compared
-        enough = max(int(np.ceil(spread * n)), 4 * k * self.trees // 8)
+        enough = max(int(np.ceil(spread * n)), MATCHES)
         low, high = self.ranges(queries, enough)
         mark = np.zeros(n, bool)
         for i in range(len(queries)):
