@@ -380,3 +380,20 @@ def jaccard_classes(documents: DataFrame, n: int = 5, percent: int = 80, id_col:
     out = names.join(placed, "node", "left")
     none = F.col("id").isNull() | F.col("node").isNull()
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(none, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.when(none, F.lit(0)).otherwise(F.col("n_links")).cast("bigint").alias("n_links"))
+
+
+def keep_one(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of documents with one of each class: the one of the smallest id.
+
+    Rows without id, and rows whose text has no words, stay. Of rows repeated with their id, one stays.
+    """
+    classes = cut(jaccard_classes(documents, n, percent, id_col, text_col), "classes").select(F.col(id_col).alias("id"), "component_id")
+    stay = classes.where("id = component_id").groupBy("id").agg(F.count("*").alias("times")).withColumnRenamed("id", "stay_id")
+    held = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
+    key = f"c{documents.columns.index(id_col)}"
+    out = held.join(stay, held[key] == stay["stay_id"])
+    if stay.where("times > 1").limit(1).count():
+        out = out.where("times = 1").unionByName(out.where("times > 1").dropDuplicates([key]))
+    nameless = held.where(F.col(key).isNull())
+    out = out.drop("stay_id", "times").unionByName(nameless)
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)])

@@ -44,15 +44,16 @@ def source_tokens(documents: DataFrame, source_col: str, text_col: str) -> DataF
     return rows.groupBy("source").agg(F.sum("n").alias("tokens")).where("tokens > 0")
 
 
-def _sums(sources: DataFrame, total: int, exponents: list[float]) -> list[tuple[float, float, float]]:
-    """For each exponent a, with shares p: (sum p^a, sum p^a ln p, max p^(a-1))."""
+def _sums(sources: DataFrame, total: int, exponents: list[float]) -> list[tuple[float, float, float, float]]:
+    """For each exponent a, with shares p: (sum p^a, sum p^a ln p, max p^(a-1), min p^(a-1))."""
     p = F.col("tokens") / F.lit(float(total))
     cols = []
     for i, a in enumerate(exponents):
         w = F.exp(F.lit(float(a)) * F.log(p))
-        cols += [F.sum(w).alias(f"s{i}"), F.sum(w * F.log(p)).alias(f"l{i}"), F.max(F.exp(F.lit(float(a) - 1) * F.log(p))).alias(f"m{i}")]
+        epochs = F.exp(F.lit(float(a) - 1) * F.log(p))
+        cols += [F.sum(w).alias(f"s{i}"), F.sum(w * F.log(p)).alias(f"l{i}"), F.max(epochs).alias(f"m{i}"), F.min(epochs).alias(f"n{i}")]
     r = sources.agg(*cols).first()
-    return [(r[f"s{i}"], r[f"l{i}"], r[f"m{i}"]) for i in range(len(exponents))]
+    return [(r[f"s{i}"], r[f"l{i}"], r[f"m{i}"], r[f"n{i}"]) for i in range(len(exponents))]
 
 
 def entropy(s: float, sl: float, a: float) -> float:
@@ -60,7 +61,7 @@ def entropy(s: float, sl: float, a: float) -> float:
     return math.log(s) - a * sl / s
 
 
-def solve_exponent(sources: DataFrame, total: int, entropy_share: float | None, max_repeats: float | None, budget: int) -> float:
+def solve_exponent(sources: DataFrame, total: int, entropy_share: float | None, max_repeats: float | None, budget: int | None) -> float:
     """The exponent in [0, 1] nearest 0 that holds the entropy target (as a share of its maximum) and the limit.
 
     Entropy falls and repetition falls as the exponent rises, so each target is an interval's end: the entropy wants at
@@ -84,21 +85,23 @@ def solve_exponent(sources: DataFrame, total: int, entropy_share: float | None,
 
     a = 0.0
     if entropy_share is not None:
-        (s0, l0, _), (s1, l1, _) = _sums(sources, total, [0.0, 1.0])
+        (s0, l0, *_), (s1, l1, *_) = _sums(sources, total, [0.0, 1.0])
         wanted = entropy(s1, l1, 1.0) + entropy_share * (entropy(s0, l0, 0.0) - entropy(s1, l1, 1.0))
         a = last_true(lambda s, x: entropy(s[0], s[1], x) >= wanted)
     if max_repeats is not None:
-        # repeats of a source: p^a / s * budget / (p * total)
-        over = last_true(lambda s, _: s[2] / s[0] * budget / total > max_repeats)
-        s = _sums(sources, total, [0.0])[0]
-        if s[2] / s[0] * budget / total > max_repeats:
-            a = max(a, over)
+
+        def too_often(s: tuple, _: float) -> bool:
+            # epochs of a source: p^a / s * budget / (p * total); without a budget, the least repeated has one
+            return (s[2] / s[3] if budget is None else s[2] / s[0] * budget / total) > max_repeats
+
+        if too_often(_sums(sources, total, [0.0])[0], 0.0):
+            a = max(a, last_true(too_often))
     return a
 
 
 def mix_sources(
     documents: DataFrame,
-    budget_share: float = 1.0,
+    budget_share: float | None = 1.0,
     entropy_share: float | None = 0.5,
     max_repeats: float | None = 4.0,
     seed: int = 7,
@@ -110,7 +113,8 @@ def mix_sources(
 ) -> DataFrame:
     """One row per use of a document: (<id_col>, source, n_tokens, epoch, block, position).
 
-    Tokens are words. The budget is ``budget_share`` of all tokens. position counts the tokens of the document's source
+    Tokens are words. The budget is ``budget_share`` of all tokens; None is the least budget that leaves out no document:
+    the source that the mix lowers most then comes once, and the others more often. position counts the tokens of the document's source
     before it in its epoch. With ``keep``, all columns of the input come instead, one row per use.
 
     The null source is a source like others. Documents without tokens (null and empty texts) weigh nothing: each comes
@@ -123,11 +127,16 @@ def mix_sources(
     rows = cut(rows.groupBy("id", "source", "n", "digest").agg(F.count("*").alias("rows")), "tokens")
     sources = cut(rows.groupBy("source").agg(F.sum(F.col("n") * F.col("rows")).alias("tokens"), F.sum("rows").alias("docs")).where("tokens > 0"), "sources")
     total = sources.agg(F.sum("tokens")).first()[0] or 0
-    budget = math.floor(total * budget_share)
+    budget = None if budget_share is None else math.floor(total * budget_share)
     a = solve_exponent(sources, total, entropy_share, max_repeats, budget) if total else 0.0
-    s = _sums(sources, total, [a])[0][0] if total else 1.0
+    s, _, _, lowest = _sums(sources, total, [a])[0] if total else (1.0, 0.0, 1.0, 1.0)
+    whole = budget is None
+    if whole:
+        budget = math.ceil(total * s / lowest)
     share = F.round(F.exp(F.lit(a) * F.log(F.col("tokens") / F.lit(float(total or 1)))) / F.lit(s) * PARTS).cast("bigint")
     targets = sources.select(F.col("source").alias("of"), "tokens", F.ceil(F.col("docs") / block_rows).cast("bigint").alias("blocks"), F.floor(share.cast("decimal(20,0)") * F.lit(budget) / PARTS).cast("bigint").alias("target"))
+    if whole:  # weights are rounded: that must not cost a document
+        targets = targets.withColumn("target", F.greatest("target", "tokens"))
 
     # a block is dealt by one half of the key and walked through by the whole of it
     keyed = rows.join(F.broadcast(targets) if _few(sources) else targets, F.col("source").eqNullSafe(F.col("of")), "left")
