@@ -12,7 +12,10 @@ a piece's number is its number within the bin after the counts of the bins befor
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.core.workspace import cut
 from corpusloom.llm.batches import map_batches, texts
+from corpusloom.llm.prefix_counts import byte_letters
 
 #: Pieces of one length and bin that are numbered together, about.
 BIN_ROWS = 50_000
@@ -182,24 +186,62 @@ def make_plan(counts: dict[int, int], size: int, most: int = 4) -> Plan:
 # -- tokens
 
 
+#: Letters up to here are words of one piece; these marks after them are pieces of their own.
+_PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?|)#$%&*]*)")
+
+
 class RunIds(dict):
-    """Run without ASCII white space -> its token ids as little-endian bytes; no token reaches over white space."""
+    """Run without ASCII white space -> its token ids as little-endian bytes; no token reaches over white space.
 
-    def __init__(self, path: str, most: int = 400_000):
+    A new run of letters and marks after them is looked up as those two parts. A word of such letters is one piece, and
+    normalising only lower-cases it, so it goes straight to the vocabulary's merges.
+    """
+
+    def __init__(self, path: str, most: int = 600_000):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.library, self.most = Tokenizer.from_file(path), most
         self.library.no_truncation()
         self.library.no_padding()
+        self.letter = None
+        spec = json.load(open(path, encoding="utf-8"))
+        if spec["model"].get("end_of_word_suffix") and '[\\p{L}]+' in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\"):
+            self.letter = {b: c for c, b in byte_letters().items()}
 
     def fill(self, runs: set[bytes]) -> None:
         new = [r for r in runs if r not in self]
-        if len(self) + len(new) > self.most:
+        if len(self) + 2 * len(new) > self.most:
+            used = {r: self[r] for r in runs if r in self}
             self.clear()
-            new = list(runs)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
+            self.update(used)
+        split, words, odd = [], set(), set()
+        for r in new:
+            m = _PLAIN.fullmatch(r.decode()) if self.letter is not None else None
+            if m is None:
+                odd.add(r)
+            else:
+                word, marks = m[1].encode(), m[2].encode()
+                words.add(word)
+                if marks:
+                    odd.add(marks)
+                    split.append((r, word, marks))
+        self._encode([r for r in odd if r not in self])
+        model, letter = self.library.model, self.letter
+        lower: dict[bytes, bytes] = {}
+        for w in words:
+            if w not in self:
+                low = w.decode().lower()
+                if (ids := lower.get(low)) is None:
+                    piece = low if low.isascii() else "".join(map(letter.__getitem__, low.encode()))
+                    ids = lower[low] = array("I", [t.id for t in model.tokenize(piece)]).tobytes()
+                self[w] = ids
+        for r, word, marks in split:
+            self[r] = self[word] + self[marks]
+
+    def _encode(self, runs: list[bytes]) -> None:
+        for i in range(0, len(runs), 4096):
+            part = runs[i : i + 4096]
             for r, e in zip(part, self.library.encode_batch_fast([x.decode() for x in part], add_special_tokens=False), strict=True):
                 self[r] = np.array(e.ids, "<u4").tobytes()
 
