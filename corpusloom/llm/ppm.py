@@ -27,17 +27,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.core.workspace import cut
-from corpusloom.llm.batches import BATCH_BYTES, slices, texts
+from corpusloom.llm.batches import slices, texts
 from corpusloom.llm.words import WordHashes
 
 ORDER = 5
 #: Contexts kept at each length, at most; and cells (states by columns) of the tables: 8 bytes each.
-NODES, CELLS = 1 << 20, 1 << 24
+NODES, CELLS = 1 << 20, 10 << 20
 #: The end of a text; contexts before its start are ends, too.
 END = 256
 _BITS = 9
 #: Bytes of text in a block of the base, about.
 BLOCK_BYTES = 32 << 20
+#: Bytes of text whose symbols are worked on together: each takes some 60 bytes meanwhile.
+STEP_BYTES = 2 << 20
+#: States whose rows are made together.
+STEP_STATES = 4096
 
 
 def symbols(raws: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +79,7 @@ def count_grams(documents: DataFrame, text_col: str, order: int = ORDER) -> Data
             return key, np.bincount(at, np.concatenate([n for _, n in held]), len(key)).astype(np.int64)
 
         for whole in batches:
-            for batch in slices(whole, "t", BATCH_BYTES // 2):
+            for batch in slices(whole, "t", STEP_BYTES):
                 held.append(grams(*symbols(texts(batch, "t"), order), order))
                 rows += len(held[-1][0])
                 if rows > 3_000_000:
@@ -150,56 +154,57 @@ class Automaton:
 
         self.next_state = np.zeros((count, width), np.int32)
         self.log10 = np.zeros((count, width), np.float32)
-        after = np.zeros((count, width), np.float32)  # log10 of each symbol after an escape from the state, seen ones excluded
-        total_of = [np.array([trie.total]), *[self._totals(trie, k, contexts[k]) for k in range(1, order + 1)]]
-        weight: list[np.ndarray] = []  # kept counts less a half, [context, column] of the length before
-        escape: list[np.ndarray] = []
+        # log10 of each symbol after an escape from the state, its own symbols excluded
+        after = np.zeros((count, width), np.float32)
         others = END + 1 - len(alphabet)  # symbols below the bound everywhere
+        last_weight, last_escape = None, None  # of the length before: kept counts less a half [context, column], and the rest
         for length, have in enumerate(contexts):
             if not len(have):
                 break
             keys, n = trie.levels[length]
             row = np.searchsorted(have, keys >> _BITS) if length else np.zeros(len(keys), np.int64)
-            col = self.columns[keys & ((1 << _BITS) - 1)]
-            w = np.zeros((len(have), width), np.float64)
-            w[row, col] = n - 0.5
-            esc = np.maximum(total_of[length] - w.sum(axis=1), 1e-300)
-            if length == 0:
-                low = np.zeros((1, width))
-                if others:
-                    low[0, -1] = -np.log10(others)
+            weight = np.zeros((len(have), width), np.float64)
+            weight[row, self.columns[keys & ((1 << _BITS) - 1)]] = n - 0.5
+            total = self._totals(trie, length, have)
+            escape = np.maximum(total - weight.sum(axis=1), 1e-300)
+            if length == 0 and not others:
+                escape[:] = 1e-300
+            suffix = state_of(length - 1, have & ((1 << _BITS * (length - 1)) - 1)) - starts[length - 1] if length else np.zeros(1, np.int64)
+            for lo in range(0, len(have), STEP_STATES):
+                part = slice(lo, lo + STEP_STATES)
+                w, esc, up_at = weight[part], escape[part], suffix[part]
+                if length == 0:
+                    low = np.zeros((1, width))
+                    low[0, -1] = -np.log10(max(others, 1))
+                    step = np.zeros((1, width), np.int64)
                 else:
-                    esc = np.full(1, 1e-300)
-                suffix = np.zeros(1, np.int64)
-            else:
-                suffix = state_of(length - 1, have & ((1 << _BITS * (length - 1)) - 1)) - starts[length - 1]
-                up, up_escape = weight[-1][suffix], escape[-1][suffix]
-                left = np.where(w > 0, 0, up)
-                rest = left.sum(axis=1) + up_escape
+                    up, up_escape = last_weight[up_at], last_escape[up_at]
+                    left = np.where(w > 0, 0, up)
+                    rest = np.log10(left.sum(axis=1) + up_escape)[:, None]
+                    with np.errstate(divide="ignore"):
+                        low = np.where(up > 0, np.log10(left) - rest, np.log10(up_escape)[:, None] - rest + after[starts[length - 1] + up_at])
+                    step = self.next_state[starts[length - 1] + up_at].astype(np.int64)
+                all_ = np.log10(w.sum(axis=1) + esc)[:, None]
+                at = slice(starts[length] + lo, starts[length] + lo + len(w))
+                after[at] = np.where(np.isfinite(low), low, 0)
                 with np.errstate(divide="ignore"):
-                    found = np.log10(left) - np.log10(rest)[:, None]
-                low = np.where(up > 0, found, (np.log10(up_escape) - np.log10(rest))[:, None] + after[starts[length - 1] + suffix])
-            lo, hi = starts[length], starts[length + 1]
-            total = w.sum(axis=1) + esc
-            with np.errstate(divide="ignore"):
-                seen = np.log10(w) - np.log10(total)[:, None]
-            after[lo:hi] = np.where(np.isfinite(low), low, 0)
-            self.log10[lo:hi] = np.where(w > 0, seen, (np.log10(esc) - np.log10(total))[:, None] + after[lo:hi])
-            # the next context: this one and the symbol if that is a state, else what the suffix leads to
-            step = self.next_state[starts[length - 1] + suffix] if length else np.zeros((1, width), np.int64)
-            step = step.copy()
-            if length < order:
-                grown = (have[:, None] << _BITS) | alphabet[None, :]
-                to = state_of(length + 1, grown.ravel()).reshape(grown.shape)
-                step[:, :-1] = np.where(to >= 0, to, step[:, :-1])
-            self.next_state[lo:hi] = step
-            weight, escape = [w], [esc]
+                    self.log10[at] = np.where(w > 0, np.log10(w) - all_, np.log10(esc)[:, None] - all_ + after[at])
+                # the next context: this one and the symbol if that is a state, else what the suffix leads to
+                if length < order:
+                    grown = (have[part, None] << _BITS) | alphabet[None, :]
+                    to = state_of(length + 1, grown.ravel()).reshape(grown.shape)
+                    step[:, :-1] = np.where(to >= 0, to, step[:, :-1])
+                self.next_state[at] = step
+            last_weight, last_escape = weight, escape
+        del after
         self.next_state *= width  # rows of the flattened tables
         self.next_state, self.log10, self.width, self.order = self.next_state.ravel(), self.log10.ravel(), width, order
 
     @staticmethod
     def _totals(trie: Trie, length: int, contexts: np.ndarray) -> np.ndarray:
         """How often something follows each context: as often as it is seen, and at a text's start once a text."""
+        if not length:
+            return np.array([trie.total])
         keys, n = trie.levels[length - 1]
         ends = trie.levels[0][1][trie.levels[0][0] == END].sum()
         at = np.minimum(np.searchsorted(keys, contexts), len(keys) - 1)
@@ -275,7 +280,7 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
             held[block] = [(key, np.bincount(at, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64))]
 
         for whole in batches:
-            for batch in slices(whole, "t", BATCH_BYTES // 2):
+            for batch in slices(whole, "t", STEP_BYTES):
                 blk = batch.column("blk").to_numpy()
                 learn = ~batch.column("h").to_numpy(zero_copy_only=False)
                 words = [_word_hashes(r) for r in texts(batch, "t")]
@@ -310,7 +315,7 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         end = np.log10(ends + 0.5) - smooth
         ids, held, tokens, seen, base, ppm = [], [], [], [], [], []
         for whole in left.combine_chunks().to_batches():
-            for batch in slices(whole, "t", BATCH_BYTES):
+            for batch in slices(whole, "t", STEP_BYTES):
                 raws = texts(batch, "t")
                 for r in raws:
                     at = np.searchsorted(word, _word_hashes(r))
