@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,8 +89,6 @@ def marker_words(markers: dict[str, tuple[str, ...]]) -> Predictor:
 
 def fasttext_predictor(model_path: str) -> Predictor:
     """A fastText model, where that library is installed; loaded once a worker."""
-    import pandas as pd
-
     held: dict = {}
 
     @F.pandas_udf("struct<label: string, score: double>")
@@ -111,9 +111,6 @@ def cosine(a: Column, b: Column) -> Column:
 
 def quality_estimate(df: DataFrame, encode: Callable, score: Callable, src_field: str = "src", tgt_field: str = "tgt", metric_key: str = "blaser_score", batch_size: int = 32) -> DataFrame:
     """metrics.<metric_key>: score(encode(sources), encode(targets)) in batches; both are pluggable and run on executors."""
-    import numpy as np
-    import pandas as pd
-
     require(df, src_field, tgt_field)
 
     @F.pandas_udf("double")
@@ -129,8 +126,6 @@ def quality_estimate(df: DataFrame, encode: Callable, score: Callable, src_field
 
 def embedding_cosine(df: DataFrame, encode: Callable, src_field: str = "src", tgt_field: str = "tgt", metric_key: str = "sonar_cosine") -> DataFrame:
     """metrics.<metric_key>: the cosine of both sides' embeddings."""
-    import pandas as pd
-
     require(df, src_field, tgt_field)
 
     @F.pandas_udf("array<double>")
