@@ -4,10 +4,11 @@ Equal sets are one node. Nodes meet in three steps; no step lists all pairs of a
 
 1. Candidate clusters. The sizes are cut into classes so that linked sets lie in one class or in neighbouring ones.
    Two linked sets of up to h shingles each differ in at most d = 2h(1-t)/(1+t) shingles; so if the hash range is cut
-   into d+1 parts, they agree wholly in at least one (pigeonhole). Each set sends one signature per part. All sets of
-   one signature are tied to one of them (a star, not all pairs), first within the task, then once per signature over
-   all tasks; clusters are the components of these ties. Parts that are empty say nothing: a set with an empty part
-   sends, beside its other signatures, those of a second cut by another hash, and so on until no part is empty.
+   into more than d parts, they agree wholly in all but d of them (pigeonhole). Each set sends one signature per part
+   that it fills. A set that fills no more parts than can differ might agree in empty parts only: it sends, beside
+   these, the signatures of a second cut by another hash, and so on until it fills more. All sets of one signature are
+   tied to one of them (a star, not all pairs), first within the task, then once per signature over all tasks;
+   clusters are the components of these ties.
 2. Within a cluster, a blocked sparse matrix product of the incidence matrix (sets by shingles) with its transpose
    accumulates overlap counts column block by column block. Clusters beyond a block's size are dealt into blocks by
    size class and hash, and each pair of blocks whose size bounds allow a link is one unit of work of bounded size.
@@ -21,6 +22,7 @@ and a clash stops the run rather than joining two sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.core.components import connected_components
 from corpusloom.core.workspace import cut
-from corpusloom.llm.batches import BATCH_BYTES, map_batches, slices, texts
+from corpusloom.llm.batches import map_batches, slices, texts
 from corpusloom.llm.words import WordHashes, mix, shingle_set
 
 #: A unit of step 2 holds two blocks of at most so many shingles and sets.
@@ -45,9 +47,10 @@ class Sizes:
     """Size classes for a threshold of percent / 100."""
 
     def __init__(self, percent: int):
-        if not 1 <= percent <= 100:
-            raise ValueError("the threshold is a percentage from 1 to 100")
+        if not 70 <= percent <= 100:
+            raise ValueError("the threshold is a percentage from 70 to 100")
         self.percent, self.low = percent, [1]
+        self._parts: dict[int, int] = {}
 
     def _grow(self, n: int) -> None:
         while self.low[-1] <= n:
@@ -58,12 +61,27 @@ class Sizes:
         self._grow(n)
         return int(np.searchsorted(self.low, n, "right")) - 1
 
-    def parts(self, j: int) -> int:
-        """Parts for sets of class j, and of class j - 1 against it."""
+    def high(self, j: int) -> int:
+        """The largest size of class j."""
         while len(self.low) <= j + 1:
             self._grow(self.low[-1])
-        high = self.low[j + 1] - 1
-        return (100 - self.percent) * 2 * high // (100 + self.percent) + 1
+        return self.low[j + 1] - 1
+
+    def differ(self, n: int, j: int) -> int:
+        """In how many shingles a set of n can differ from a linked one of class j or smaller, at most."""
+        other = min(self.high(j), 100 * n // self.percent)
+        return (100 - self.percent) * (n + other) // (100 + self.percent)
+
+    def parts(self, j: int) -> int:
+        """Parts for sets of class j, and of class j - 1 against it: so many that most sets fill more than can differ."""
+        if j not in self._parts:
+            n = self.high(j)
+            d = self.differ(n, j)
+            k = d + 1
+            while d and k - (empty := k * math.exp(-n / k)) < d + 0.5 * math.sqrt(empty):
+                k += max(1, k // 100)
+            self._parts[j] = k
+        return self._parts[j]
 
 
 def signatures(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
@@ -74,7 +92,7 @@ def signatures(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
     out = []
     own = sizes.of(n)
     for tag in (own, own + 1):
-        parts = np.uint64(sizes.parts(tag))
+        parts, differ = np.uint64(sizes.parts(tag)), sizes.differ(n, tag)
         g, turn = grams, 0
         while True:
             # equal ranges of the hash: in sorted order, each part is a run
@@ -82,7 +100,8 @@ def signatures(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
             at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
             content = np.add.reduceat(mix(g), at)
             out.append(mix(content + mix(part[at] + np.uint64((tag << 40) + (turn << 32) + 1))))
-            if len(at) == int(parts) or turn > 60:
+            # of more filled parts than can differ, one agrees
+            if len(at) > differ or turn > 60:
                 break
             turn += 1
             g = np.sort(mix(grams ^ np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
@@ -132,7 +151,7 @@ def _signature_rows(documents: DataFrame, n: int, percent: int, id_col: str, tex
         sizes = Sizes(percent)
         seen: set[int] = set()
         for whole in batches:
-            for batch in slices(whole, "t", 4 * BATCH_BYTES):
+            for batch in slices(whole, "t"):
                 sigs, nodes = [], []
                 for g in _sets(batch, n):
                     if len(g) and (name := node_of(g)[0]) not in seen:
