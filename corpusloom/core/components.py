@@ -19,6 +19,12 @@ def _star(pairs: DataFrame) -> DataFrame:
     return pairs.join(low, "node")
 
 
+def _settled(pairs: DataFrame) -> bool:
+    """Whether every node points at one smaller node that points at none: that one is then its component's smallest."""
+    n, distinct = pairs.agg(F.count("*"), F.count_distinct("node")).first()
+    return n == distinct and not pairs.join(pairs.select(F.col("node").alias("near")), "near", "left_semi").limit(1).count()
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """One row (node, component) per node that an edge names; component is the smallest node reachable.
 
@@ -29,8 +35,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     now = cut(ends.select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("near")).distinct(), "edges")
     every = now
     now = now.where("node <> near")
-    before = None
     for _ in range(max_rounds):
+        if _settled(now):
+            break
         both = now.union(now.select(F.col("near").alias("node"), F.col("node").alias("near")))
         large = _star(both).where("near > node").select(F.col("near").alias("node"), F.col("low").alias("near"))
         large = large.where("node <> near").distinct()
@@ -38,11 +45,6 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         now = small.select(F.col("near").alias("node"), F.col("low").alias("near"))
         now = now.union(small.select("node", F.col("low").alias("near"))).where("node <> near").distinct()
         now = cut(now, "stars")
-        # the sum over all stars no longer changes once every node points at its component's smallest
-        state = now.agg(F.count("*"), F.count_distinct("node"), F.sum(F.xxhash64("node", "near").cast("decimal(38,0)"))).first()
-        if state == before and state[0] == state[1]:
-            break
-        before = state
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = every.select("node").union(every.select("near")).distinct()
