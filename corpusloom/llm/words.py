@@ -14,7 +14,7 @@ _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 class WordHashes(dict):
     """word -> xxh64 of its bytes; emptied when full, so that its memory is bounded."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
