@@ -269,7 +269,7 @@ class PrefixCounter:
         text = self.normalised(text)
         out = np.zeros(len(text) + 1, np.int64)
         total, at = 0, 0
-        for m in re.finditer(r"\S+", text):
+        for m in re.finditer("[^ ]+", text):
             out[at + 1 : m.start() + 1] = total
             done = m.start()
             for piece, start, stop in self._spans(m[0]):
