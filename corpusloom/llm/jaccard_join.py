@@ -9,6 +9,8 @@ Equal sets are one node. Nodes meet in three steps; no step lists all pairs of a
    these, the signatures of a second cut by another hash, and so on until it fills more. All sets of one signature are
    tied to one of them (a star, not all pairs), first within the task, then once per signature over all tasks;
    clusters are the components of these ties.
+   A cluster beyond a block's size is parted once more: sketches (a byte of hash and a size for every part) give a
+   lower bound of what two sets differ in, and only sets that may link stay together.
 2. Within a cluster, a blocked sparse matrix product of the incidence matrix (sets by shingles) with its transpose
    accumulates overlap counts column block by column block. Clusters beyond a block's size are dealt into blocks by
    size class and hash, and each pair of blocks whose size bounds allow a link is one unit of work of bounded size.
@@ -72,17 +74,39 @@ class Sizes:
         other = min(self.high(j), 100 * n // self.percent)
         return (100 - self.percent) * (n + other) // (100 + self.percent)
 
-    def parts(self, j: int) -> int:
-        """Parts for sets of class j, and of class j - 1 against it: so many that most sets fill more than can differ."""
+    def parts(self, j: int) -> tuple[int, int]:
+        """(parts, shingles that a part must have to be signed) for class j, and for class j - 1 against it.
+
+        As many shingles as allow, with few more parts, that most sets have more such parts than can differ: the more
+        there are, the less likely do sets agree in one by a common passage.
+        """
         if j not in self._parts:
             n = self.high(j)
             d = self.differ(n, j)
-            k = d + 1
-            while d and k - (empty := k * math.exp(-n / k)) < d + 0.5 * math.sqrt(empty):
-                k += max(1, k // 100)
-            self._parts[j] = k
+            self._parts[j] = next((k, c) for c in (6, 5, 4, 3, 2, 1) if (k := self._enough(n, d, c)))
         return self._parts[j]
 
+    @staticmethod
+    def _enough(n: int, d: int, c: int) -> int:
+        """The least number of parts of which, for most sets of n, more than d have c shingles; 0 if that takes too many."""
+        if d == 0:
+            return int(c == 1)
+        k = d + 1
+        while c == 1 or k <= 1.3 * (d + 1):
+            mean = n / k
+            full = 1 - sum(math.exp(i * math.log(mean) - mean - math.lgamma(i + 1)) for i in range(c))
+            if k * full >= d + 0.5 + 0.5 * math.sqrt(k * full * (1 - full)):
+                return k
+            k += max(1, k // 100)
+        return 0
+
+
+def _cut(g: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number, size, content) of each filled part of a sorted set: equal ranges of the hash, so each is a run."""
+    part = (g >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
+    at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    return part[at], np.diff(np.append(at, len(g))), np.add.reduceat(mix(g), at)
+
 
 def signatures(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
     """The 64-bit signatures of a sorted set."""
@@ -92,22 +116,61 @@ def signatures(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
     out = []
     own = sizes.of(n)
     for tag in (own, own + 1):
-        parts, differ = np.uint64(sizes.parts(tag)), sizes.differ(n, tag)
+        (parts, least), differ = sizes.parts(tag), sizes.differ(n, tag)
         g, turn = grams, 0
         while True:
-            # equal ranges of the hash: in sorted order, each part is a run
-            part = (g >> np.uint64(32)) * parts >> np.uint64(32)
-            at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-            content = np.add.reduceat(mix(g), at)
-            out.append(mix(content + mix(part[at] + np.uint64((tag << 40) + (turn << 32) + 1))))
-            # of more filled parts than can differ, one agrees
-            if len(at) > differ or turn > 60:
+            part, size, content = _cut(g, parts)
+            good = size >= least
+            out.append(mix(content[good] + mix(part[good] + np.uint64((tag << 40) + (turn << 32) + 1))))
+            # of more such parts than can differ, one agrees
+            if np.count_nonzero(good) > differ or turn > 60:
                 break
             turn += 1
             g = np.sort(mix(grams ^ np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
     return np.concatenate(out)
 
 
+def sketch(grams: np.ndarray, parts: int) -> bytes:
+    """For each part one byte of a hash of its content, then for each part its size, up to 255."""
+    out = np.zeros((2, parts), np.uint8)
+    part, size, content = _cut(grams, parts)
+    at = part.astype(np.int64)
+    out[0, at] = (mix(content) >> np.uint64(56)).astype(np.uint8)
+    out[1, at] = np.minimum(size, 255)
+    return out.tobytes()
+
+
+def sketches(grams: np.ndarray, sizes: Sizes) -> tuple[bytes, bytes]:
+    """Sketches to compare a set with its own class, and with the next."""
+    own = sizes.of(len(grams))
+    return sketch(grams, sizes.parts(own)[0]), sketch(grams, sizes.parts(own + 1)[0])
+
+
+def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Boolean [a, b]: whether sketches allow a link. a, b are [set, hash or size, part].
+
+    Parts of other sizes differ in as many shingles at least; parts of one size but other content in two.
+    """
+    differ = (100 - percent) * (na[:, None] + nb[None, :]) // (100 + percent)
+    bound = np.minimum(na[:, None], nb[None, :]) * 100 >= percent * np.maximum(na[:, None], nb[None, :])
+    k = a.shape[2]
+    first = k * 2 // 3 if k > 30 else k  # enough to tell most pairs apart
+    out = np.zeros((len(a), len(b)), bool)
+
+    def least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        more = np.abs(x[..., 1, :].astype(np.int16) - y[..., 1, :])
+        return np.where(more > 0, more, 2 * (x[..., 0, :] != y[..., 0, :])).sum(axis=-1, dtype=np.int32)
+
+    step = max(1, (4 << 20) // max(1, len(b) * first))
+    for i in range(0, len(a), step):
+        near = bound[i : i + step] & (least(a[i : i + step, None, :, :first], b[None, :, :, :first]) <= differ[i : i + step])
+        x, y = np.nonzero(near)
+        for at in range(0, len(x), max(1, (4 << 20) // k)):
+            p, q = x[at : at + max(1, (4 << 20) // k)], y[at : at + max(1, (4 << 20) // k)]
+            out[i + p, q] = least(a[i + p], b[q]) <= differ[i + p, q]
+    return out
+
+
 def node_of(grams: np.ndarray) -> tuple[int, int]:
     """(name, check) of a set: two signed 64-bit parts of one digest."""
     d = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
@@ -124,16 +187,19 @@ def _sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return [shingle_set(t.lower().split(), n, _hashes) for t in texts(batch, "t")]
 
 
-def _names(documents: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: (id, n_shingles, node, node_check); an empty set has no node."""
+def _names(documents: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: (id, n_shingles, node, node_check, own, next); an empty set has no node and no sketches."""
+    sizes = Sizes(percent)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = _sets(batch, n)
         nodes = [node_of(g) if len(g) else (None, None) for g in sets]
-        return pa.record_batch([batch.column("i"), pa.array(map(len, sets), pa.int64()), pa.array([a for a, _ in nodes], pa.int64()), pa.array([b for _, b in nodes], pa.int64())], names=["id", "n_shingles", "node", "node_check"])
+        drawn = [sketches(g, sizes) if len(g) else (None, None) for g in sets]
+        longs = [pa.array(map(len, sets), pa.int64()), pa.array([a for a, _ in nodes], pa.int64()), pa.array([b for _, b in nodes], pa.int64())]
+        return pa.record_batch([batch.column("i"), *longs, pa.array([a for a, _ in drawn], pa.binary()), pa.array([b for _, b in drawn], pa.binary())], names=["id", "n_shingles", "node", "node_check", "own", "next"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"id {kind}, n_shingles bigint, node bigint, node_check bigint")
+    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"id {kind}, n_shingles bigint, node bigint, node_check bigint, own binary, next binary")
 
 
 def _ties(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,9 +230,10 @@ def _signature_rows(documents: DataFrame, n: int, percent: int, id_col: str, tex
                     continue
                 sig, node = np.concatenate(sigs), np.concatenate(nodes)
                 order = np.lexsort((node, sig))
-                sig, node = sig[order], node[order]
-                first, hub, other = _ties(sig, node)
-                sig, node = sig[first].view(np.int64), node[first]
+                first, hub, other = _ties(sig[order], node[order])
+                # in the order of the sets again: equal names side by side pack well in the shuffle
+                order = np.sort(order[first])
+                sig, node = sig[order].view(np.int64), node[order]
                 tied = np.concatenate([np.zeros(len(sig), np.int64), other])
                 mask = np.arange(len(tied)) < len(sig)
                 # a tie rides along under its own node's name
@@ -262,27 +329,63 @@ def _unit(at: list[int], rows: list[tuple], percent: int) -> list[tuple[int, int
     return [(rows[label[i]][0], rows[i][0], int(degree[i])) for i in np.flatnonzero(degree)]
 
 
+def _by_unit(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[tuple]]]:
+    """(key, rows without the key) of each unit of two or more nodes, out of rows sorted by unit and node."""
+    key, held = None, []
+    for b in batches:
+        for row in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            at, rest = list(row[:5]), row[5:]
+            if at != key:
+                if len(held) > 1:
+                    yield key, held
+                key, held = at, []
+            if not held or held[-1][0] != rest[0]:  # rows repeated with their id give the set again
+                held.append(rest)
+    if len(held) > 1:
+        yield key, held
+
+
 def _units(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, out = None, [], []
+        out: list[tuple[int, int, int]] = []
+        record = lambda rows: pa.record_batch([pa.array(x, pa.int64()) for x in zip(*rows, strict=True)], names=["a", "b", "degree"])
+        for at, rows in _by_unit(batches):
+            out += _unit(at, rows, percent)
+            if len(out) > 10_000:
+                yield record(out)
+                out = []
+        if out:
+            yield record(out)
 
-        def flush() -> pa.RecordBatch:
-            got = pa.record_batch([pa.array(x, pa.int64()) for x in (zip(*out, strict=True) if out else ((), (), ()))], names=["a", "b", "degree"])
-            out.clear()
-            return got
+    return run
 
-        for b in batches:
-            for *at, node, grams, copies, side in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if at != key:
-                    if len(held) > 1:
-                        out += _unit(key, held, percent)
-                    key, held = at, []
-                held.append((node, grams, copies, side))
-            if len(out) > 10_000:
-                yield flush()
-        if len(held) > 1:
-            out += _unit(key, held, percent)
-        yield flush()
+
+def _refine_unit(at: list[int], rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """rows (node, size, own, next, side) of the unit at (cluster, j, x, k, y) -> (root, node) of what may link."""
+    size = np.array([r[1] for r in rows])
+    side = np.array([r[4] for r in rows])
+    drawn = lambda r, col: np.frombuffer(r[col], np.uint8).reshape(2, -1)
+    link = np.zeros((len(rows), len(rows)), bool)
+    if at[1:3] == at[3:]:
+        all_ = np.stack([drawn(r, 2) for r in rows])
+        link = may_link(all_, all_, size, size, percent)
+        np.fill_diagonal(link, False)
+    elif 0 < side.sum() < len(side):
+        # of neighbouring classes, the lower is drawn for the next; blocks of one class are drawn for their own
+        low, high = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        col = 3 if at[1] != at[3] else 2
+        got = may_link(np.stack([drawn(rows[i], col) for i in low]), np.stack([drawn(rows[i], 2) for i in high]), size[low], size[high], percent)
+        link[np.ix_(low, high)] = got
+        link[np.ix_(high, low)] = got.T
+    label = forest(link)
+    return [(rows[label[i]][0], rows[i][0]) for i in np.flatnonzero(link.any(axis=1)) if label[i] != i]
+
+
+def _refined(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for at, rows in _by_unit(batches):
+            if out := _refine_unit(at, rows, percent):
+                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
 
     return run
 
@@ -309,13 +412,9 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
     return out
 
 
-def _cluster_sets(documents: DataFrame, clusters: DataFrame, names: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(cluster, node, size, grams, copies): the shingle sets of all nodes in clusters of two or more."""
-    spark = documents.sparkSession
-    # one document to read each set from
-    rep = names.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
-    wanted = clusters.join(rep, "node")
-    held = spark.sparkContext.broadcast(_node_filter(wanted.select(F.xxhash64("rep").alias("node"))))
+def _read_sets(documents: DataFrame, members: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """(rep, node, grams): the shingle sets of the documents that stand for the members' nodes."""
+    held = documents.sparkSession.sparkContext.broadcast(_node_filter(members.select(F.xxhash64("rep").alias("node"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
@@ -332,28 +431,38 @@ def _cluster_sets(documents: DataFrame, clusters: DataFrame, names: DataFrame, n
 
     kind = documents.schema[id_col].dataType.simpleString()
     read = documents.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.xxhash64(F.col(f"`{id_col}`")).alias("h")).where("i is not null")
-    sets = read.mapInArrow(run, f"rep {kind}, node bigint, grams binary")
-    got = wanted.join(sets, ["node", "rep"])
-    # rows repeated with their id give the set again
-    return got.groupBy("component", "node").agg(F.first("grams").alias("grams"), F.first("copies").alias("copies")).select(F.col("component").alias("cluster"), "node", (F.length("grams") / 8).cast("bigint").alias("size"), "grams", "copies")
+    return read.mapInArrow(run, f"rep {kind}, node bigint, grams binary")
+
+
+_KEY = ["cluster", "j", "x", "k", "y"]
+
 
+def _large(members: DataFrame) -> DataFrame:
+    """The clusters that are dealt into blocks."""
+    whole = members.groupBy("cluster").agg(F.sum("size").alias("w"), F.count("*").alias("m"))
+    return whole.where((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).select("cluster")
 
-def _dealt(sets: DataFrame, percent: int) -> DataFrame:
-    """Each set once for every unit that it takes part in: (cluster, j, x, k, y, node, grams, copies, side)."""
+
+def _dealt(members: DataFrame, percent: int) -> DataFrame:
+    """Members (cluster, node, rep, copies, size), each once for every unit that it takes part in: with _KEY and side.
+
+    Only names and sizes are dealt here; the sets join them afterwards, once.
+    """
     sizes = Sizes(percent)
     sizes._grow(1 << 40)
     bounds = F.array(*[F.lit(x) for x in sizes.low])
-    sets = sets.withColumn("class", F.size(F.filter(bounds, lambda b: b <= F.col("size"))) - 1)
-    whole = sets.groupBy("cluster").agg(F.sum("size").alias("w"), F.count("*").alias("m")).where("m > 1")
-    blocks = lambda w, m: F.greatest(F.ceil(w / BLOCK_SHINGLES), F.ceil(m / BLOCK_SETS)).cast("int")
-    big = whole.where((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).select("cluster", F.lit(True).alias("big"))
-    per = sets.join(big, "cluster").groupBy("cluster", "class").agg(blocks(F.sum("size"), F.count("*")).alias("nb"))
-    small = sets.join(whole.where((F.col("w") <= BLOCK_SHINGLES) & (F.col("m") <= BLOCK_SETS)).select("cluster"), "cluster")
+    members = members.withColumn("class", F.size(F.filter(bounds, lambda b: b <= F.col("size"))) - 1)
+    whole = members.groupBy("cluster").agg(F.sum("size").alias("w"), F.count("*").alias("m")).where("m > 1")
+    whole = whole.select("cluster", ((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).alias("large"))
+    members = members.join(whole, "cluster")
+    blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int")
+    large = members.where("large")
+    per = large.groupBy("cluster", "class").agg(blocks.alias("nb"))
     none = F.lit(0).cast("int")
-    out = ["cluster", "j", "x", "k", "y", "node", "grams", "copies", "side"]
-    small = small.select("cluster", none.alias("j"), none.alias("x"), none.alias("k"), none.alias("y"), "node", "grams", "copies", none.alias("side"))
+    out = [*_KEY, "node", "rep", "copies", "side"]
+    small = members.where("not large").select("cluster", *[none.alias(k) for k in _KEY[1:]], "node", "rep", "copies", none.alias("side"))
     # own class: blocks x <= y; neighbouring classes: every x against every y
-    dealt = sets.join(per, ["cluster", "class"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    dealt = large.join(per, ["cluster", "class"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     up = per.select("cluster", (F.col("class") - 1).alias("class"), F.col("nb").alias("nb_up"))
     down = per.select("cluster", (F.col("class") + 1).alias("class"), F.col("nb").alias("nb_down"))
     dealt = dealt.join(up, ["cluster", "class"], "left").join(down, ["cluster", "class"], "left")
@@ -363,7 +472,7 @@ def _dealt(sets: DataFrame, percent: int) -> DataFrame:
     own = F.transform(upto(F.col("nb")), lambda y: unit(c, F.least(b, y), c, F.greatest(b, y), F.when(b > y, F.lit(1)).otherwise(F.lit(0))))
     above = F.transform(upto(F.coalesce(F.col("nb_up"), F.lit(0))), lambda y: unit(c, b, c + 1, y, F.lit(0)))
     below = F.transform(upto(F.coalesce(F.col("nb_down"), F.lit(0))), lambda x: unit(c - 1, x, c, b, F.lit(1)))
-    dealt = dealt.select("cluster", "node", "grams", "copies", F.explode(F.concat(own, above, below)).alias("u")).select("cluster", "u.j", "u.x", "u.k", "u.y", "node", "grams", "copies", "u.side")
+    dealt = dealt.select("cluster", "node", "rep", "copies", F.explode(F.concat(own, above, below)).alias("u")).select("cluster", "u.j", "u.x", "u.k", "u.y", "node", "rep", "copies", "u.side")
     return small.select(*out).union(dealt.select(*out))
 
 
@@ -377,26 +486,33 @@ def jaccard_classes(documents: DataFrame, n: int = 5, percent: int = 80, id_col:
     Null or empty texts and texts without words link with nothing. A row without id takes no part: its component_id is
     null and its n_links 0. Rows repeated with id and text are linked with one another. Other columns are not read.
     """
-    names = cut(_names(documents, n, id_col, text_col), "sets")
+    names = cut(_names(documents, n, percent, id_col, text_col), "sets")
     known = names.where("id is not null and node is not null")
     clash = known.groupBy("node").agg((F.min("node_check") != F.max("node_check")).alias("clash")).where("clash").limit(1).count()
     if clash:
         raise RuntimeError("two different sets have one 64-bit name")
     with_id = documents.where(F.col(f"`{id_col}`").isNotNull())
-    clusters = connected_components(candidate_ties(with_id, n, percent, id_col, text_col))
-    clusters = cut(clusters, "clusters")
-    sets = cut(_cluster_sets(documents, clusters, known, n, id_col, text_col), "grams")
-    key = ["cluster", "j", "x", "k", "y"]
+    clusters = connected_components(candidate_ties(with_id, n, percent, id_col, text_col)).withColumnRenamed("component", "cluster")
+    # one document to read each set from
+    rep = cut(known.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("size")), "nodes")
+    members = cut(clusters.join(rep, "node"), "members")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = _dealt(sets, percent).repartition(parts, *key).sortWithinPartitions(*key, "node")
-    links = cut(units.mapInArrow(_units(percent), "a bigint, b bigint, degree bigint"), "links")
+    at_units = lambda df: df.repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "node")
+    large = _large(members)
+    # large clusters hang together by common passages: sketches part them before any sets are moved
+    drawn = known.select("node", F.col("id").alias("rep"), "own", "next", F.col("n_shingles").alias("n"))
+    near = _dealt(members.join(large, "cluster", "left_semi"), percent).join(drawn, ["node", "rep"]).select(*_KEY, "node", "n", "own", "next", "side")
+    parted = connected_components(at_units(near).mapInArrow(_refined(percent), "a bigint, b bigint")).select("node", F.col("component").alias("parted"))
+    members = members.join(large, "cluster", "left_anti").unionByName(members.join(large, "cluster", "left_semi").join(parted, "node").drop("cluster").withColumnRenamed("parted", "cluster"))
+    members = cut(members, "parted")
+    units = _dealt(members, percent).join(_read_sets(documents, members, n, id_col, text_col), ["node", "rep"])
+    links = cut(at_units(units.select(*_KEY, "node", "grams", "copies", "side")).mapInArrow(_units(percent), "a bigint, b bigint, degree bigint"), "links")
     component = connected_components(links)
     degree = links.groupBy(F.col("b").alias("node")).agg(F.sum("degree").alias("degree"))
-    rep = known.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     placed = rep.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     low = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
     placed = placed.join(low, "component").join(degree, "node", "left").select("node", "component_id", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = names.join(placed, "node", "left")
+    out = names.select("id", "n_shingles", "node").join(placed, "node", "left")
     none = F.col("id").isNull() | F.col("node").isNull()
     return out.select(F.col("id").alias(id_col), "n_shingles", F.when(none, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.when(none, F.lit(0)).otherwise(F.col("n_links")).cast("bigint").alias("n_links"))
 

@@ -99,3 +99,33 @@ def test_nulls_repeats_and_clashing_columns(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert J.jaccard_classes(df).collect() == []
+
+
+def test_sketches_never_forbid_a_link():
+    rng = random.Random(6)
+    for percent in (80, 90):
+        sizes = J.Sizes(percent)
+        for _ in range(800):
+            m = rng.randrange(1, 200)
+            pool = np.array([rng.getrandbits(64) for _ in range(2 * m + 4)], np.uint64)
+            x = np.unique(pool[:m])
+            y = np.unique(np.concatenate([pool[rng.randrange(0, m // 7 + 1) : m], pool[m : m + rng.randrange(0, m // 7 + 2)]]))
+            x, y = sorted((x, y), key=len)
+            inter = len(np.intersect1d(x, y))
+            if 100 * inter < percent * (len(x) + len(y) - inter):
+                continue
+            apart = sizes.of(len(y)) - sizes.of(len(x))
+            assert apart in (0, 1)
+            a, b = J.sketches(x, sizes)[apart], J.sketches(y, sizes)[0]
+            as_sketch = lambda s: np.frombuffer(s, np.uint8).reshape(1, 2, -1)
+            assert J.may_link(as_sketch(a), as_sketch(b), np.array([len(x)]), np.array([len(y)]), percent)[0, 0]
+
+
+def test_sketches_part_sets_that_share_a_passage():
+    rng = np.random.default_rng(3)
+    sizes = J.Sizes(80)
+    passage = rng.integers(0, 2**63, 50, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2)])) for _ in range(40)]
+    drawn = np.stack([np.frombuffer(J.sketches(s, sizes)[0], np.uint8).reshape(2, -1) for s in sets])
+    n = np.array([len(s) for s in sets])
+    assert J.may_link(drawn, drawn, n, n, 80).sum() == 40
