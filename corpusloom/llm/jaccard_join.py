@@ -28,6 +28,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -390,24 +391,25 @@ def _refined(percent: int):
     return run
 
 
-def _filter_hash(ids: np.ndarray) -> np.ndarray:
+def _filter_hash(ids: np.ndarray, words: int) -> np.ndarray:
     h = mix(ids.view(np.uint64) + np.uint64(0x5851F42D4C957F2D))
-    return np.stack([h % np.uint64(FILTER_WORDS * 64), (h >> np.uint64(32)) % np.uint64(FILTER_WORDS * 64)])
+    return np.stack([h % np.uint64(words * 64), (h >> np.uint64(32)) % np.uint64(words * 64)])
 
 
 def _node_filter(nodes: DataFrame) -> np.ndarray:
     """A Bloom filter of the nodes: FILTER_WORDS words whatever their number."""
+    words = FILTER_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(FILTER_WORDS, np.uint64)
+        bits = np.zeros(words, np.uint64)
         for b in batches:
-            at = _filter_hash(b.column(0).to_numpy()).ravel()
+            at = _filter_hash(b.column(0).to_numpy(), words).ravel()
             np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         at = np.flatnonzero(bits)
         yield pa.record_batch([pa.array(at), pa.array(bits[at].view(np.int64))], names=["at", "bits"])
 
     rows = nodes.select("node").mapInArrow(run, "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
-    out = np.zeros(FILTER_WORDS, np.uint64)
+    out = np.zeros(words, np.uint64)
     out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
@@ -419,7 +421,7 @@ def _read_sets(documents: DataFrame, members: DataFrame, n: int, id_col: str, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = held.value
         for whole in batches:
-            at = _filter_hash(whole.column("h").to_numpy())
+            at = _filter_hash(whole.column("h").to_numpy(), len(bits))
             hit = np.all(bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1), axis=0)
             for batch in slices(whole.filter(pa.array(hit)), "t"):
                 keep: dict[tuple, np.ndarray] = {}
@@ -522,13 +524,24 @@ def keep_one(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str =
 
     Rows without id, and rows whose text has no words, stay. Of rows repeated with their id, one stays.
     """
-    classes = cut(jaccard_classes(documents, n, percent, id_col, text_col), "classes").select(F.col(id_col).alias("id"), "component_id")
-    stay = classes.where("id = component_id").groupBy("id").agg(F.count("*").alias("times")).withColumnRenamed("id", "stay_id")
-    held = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
+    classes = cut(jaccard_classes(documents, n, percent, id_col, text_col), "classes").select(F.col(id_col).alias("id"), "component_id").where("id is not null")
+    counted = cut(classes.groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("stays"), F.count("*").alias("times")), "stay")
+    # Most rows stay, and an id that is surely not among the others needs no look-up: a filter of bounded size tells, and
+    # only the texts that it does not clear are moved. Where it is full it clears none, and all are looked up.
+    unsure = counted.where("not stays or times > 1")
+    held = documents.sparkSession.sparkContext.broadcast(_node_filter(unsure.select(F.xxhash64("id").alias("node"))))
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        at = _filter_hash(hashes.to_numpy(np.int64), len(held.value))
+        return pd.Series(np.all(held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1), axis=0))
+
+    rows = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
     key = f"c{documents.columns.index(id_col)}"
-    out = held.join(stay, held[key] == stay["stay_id"])
-    if stay.where("times > 1").limit(1).count():
-        out = out.where("times = 1").unionByName(out.where("times > 1").dropDuplicates([key]))
-    nameless = held.where(F.col(key).isNull())
-    out = out.drop("stay_id", "times").unionByName(nameless)
-    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)])
+    rows = rows.withColumn("hit", F.col(key).isNotNull() & maybe(F.xxhash64(key)))
+    looked_up = rows.where("hit").join(counted.where("stays").select(F.col("id").alias("stay_id"), "times"), F.col(key) == F.col("stay_id"))
+    if counted.where("stays and times > 1").limit(1).count():
+        looked_up = looked_up.where("times = 1").unionByName(looked_up.where("times > 1").dropDuplicates([key]))
+    names = [f"c{i}" for i in range(len(documents.columns))]
+    out = rows.where("not hit").select(*names).unionByName(looked_up.select(*names))
+    return out.select(*[F.col(c).alias(old) for c, old in zip(names, documents.columns, strict=True)])

@@ -129,3 +129,14 @@ def test_sketches_part_sets_that_share_a_passage():
     drawn = np.stack([np.frombuffer(J.sketches(s, sizes)[0], np.uint8).reshape(2, -1) for s in sets])
     n = np.array([len(s) for s in sets])
     assert J.may_link(drawn, drawn, n, n, 80).sum() == 40
+
+
+def test_keep_one(spark, edge, nothing, monkeypatch):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, text), (5, text), (5, text), (9, text), (3, None), (2, text + " x"), (7, "other words"), (7, "other words")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted([(None, text), (2, text + " x"), (3, None), (7, "other words")], key=str)
+    assert sorted(map(tuple, J.keep_one(df).collect()), key=str) == want
+    monkeypatch.setattr(J, "FILTER_WORDS", 1)  # a filter that clears nearly none
+    assert sorted(map(tuple, J.keep_one(df).collect()), key=str) == want
+    assert J.keep_one(edge).schema == edge.schema and J.keep_one(nothing).collect() == []
