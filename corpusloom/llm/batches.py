@@ -36,15 +36,15 @@ def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     return [b"" if x is None else x for x in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
-def map_batches(df: DataFrame, columns: dict[str, str], text: str, work: Callable, schema: str) -> DataFrame:
-    """work(record batch) -> record batch or None, over slices of df's columns {new name: old name}.
+def map_batches(df: DataFrame, columns: dict[str, str], text: str, work: Callable, schema: str, limit: int = BATCH_BYTES) -> DataFrame:
+    """work(record batch) -> record batch or None, over slices (of about limit bytes of text) of df's columns {new: old name}.
 
     Only those columns are read, under names of their own, so that no other column can clash.
     """
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, limit):
                 if (out := work(part)) is not None:
                     yield out
 

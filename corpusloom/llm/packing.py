@@ -29,6 +29,8 @@ from corpusloom.llm.prefix_counts import byte_letters
 
 #: Pieces of one length and bin that are numbered together, about.
 BIN_ROWS = 50_000
+#: Bytes of text whose words are held together: some 10 bytes each meanwhile.
+STEP_BYTES = 3 << 20
 
 
 # -- the plan
@@ -197,7 +199,7 @@ class RunIds(dict):
     normalising only lower-cases it, so it goes straight to the vocabulary's merges.
     """
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 250_000):
         super().__init__()
         from tokenizers import Tokenizer
 
@@ -275,7 +277,7 @@ def tokenised_pieces(documents: DataFrame, vocabulary: str, size: int, end_id: i
         return pa.record_batch([batch.column("i").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]], names=["id", "piece", "start", "length", "ids_crc32"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint", STEP_BYTES)
 
 
 def pack_documents(documents: DataFrame, vocabulary: str, size: int = 2048, end_id: int = 0, most: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
