@@ -129,6 +129,19 @@ def test_scores_equal_the_definition(spark, nodes):
         assert abs(r.score - slow.log10(flat[r.doc_id])) < 1e-4 * max(1, -r.score)
 
 
+def test_rare_contexts_keep_their_counts_in_a_large_corpus(spark):
+    """A share of more symbols than 2^20: contexts that are seen once score like the others."""
+    common = ["abcab " * 30_000] * 6
+    rare = ["zqxwv jkzpq", "vjqxk zzwpj"]
+    df = spark.createDataFrame(list(enumerate(common + rare + rare)), "doc_id bigint, text string")
+    rows = {r.doc_id: r.score for r in P.score_texts(df, held_out=F.col("doc_id") >= 8, order=3).collect()}
+    flat = [b" ".join(t.encode().split()) for t in common + rare]
+    assert sum(len(t) + 1 for t in flat) > 1 << 20
+    slow = SlowPPM(flat, 3, 1)
+    for i, t in enumerate(rare):
+        assert abs(rows[8 + i] - slow.log10(t.encode())) < 1e-4 * -rows[8 + i]
+
+
 def test_symbols_sum_to_one_and_lanes_do_not_matter():
     raws = [t.encode() for t in texts_for_ppm(60)]
     keys, counts = P.grams(*P.symbols(raws, 3), 3)
