@@ -31,8 +31,8 @@ from corpusloom.llm.batches import slices, texts
 from corpusloom.llm.words import WordHashes
 
 ORDER = 5
-#: Cells (states by columns) of an Automaton's tables, 8 bytes each.
-CELLS = 10 << 20
+#: Cells (states by columns) of a bounded trie's tables, 8 bytes each. score_texts has no such tables, and no bound.
+CELLS = 1 << 24
 #: Context symbols before the last one by which strings are dealt into shards; strings in a shard, about.
 SHARED, SHARD_GRAMS = 2, 1 << 17
 #: The end of a text; contexts before its start are ends, too.
@@ -162,7 +162,7 @@ class Trie:
 
 
 class Automaton:
-    """Tables over states (contexts) and columns (kept symbols, and one for all others).
+    """One trie's model as tables over states (contexts) and columns (kept symbols, and one for all others).
 
     columns: the column of each symbol; next_state and log10: [state, column].
     """

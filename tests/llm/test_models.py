@@ -165,6 +165,20 @@ def test_the_trie_is_bounded(monkeypatch):
     assert 0 < small.cells() <= 500
 
 
+def test_no_context_is_dropped_for_memory(spark, monkeypatch):
+    """Texts of many distinct bytes, whose dense tables would not fit."""
+    monkeypatch.setattr(P, "CELLS", 5000)
+    rng = random.Random(6)
+    texts = [" ".join("".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(192, 2000)])) for _ in range(5)) for _ in range(12)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    flat = [b" ".join(t.encode().lower().split()) for t in texts]
+    assert len(set(b"".join(flat))) > 120
+    slow = SlowPPM([t for i, t in enumerate(flat) if i % 4], 3, 1)
+    for r in P.score_texts(df, held_out=F.col("doc_id") % 4 == 0, order=3).collect():
+        want = slow.log10(flat[r.doc_id])
+        assert abs(r.score - want) < 1e-4 * -want
+
+
 def test_scoring_edges(edge, nothing):
     rows = P.score_texts(edge).collect()
     assert len(rows) == 10 and all(r.score <= 0 and r.n_tokens >= 1 and r.n_known == r.n_tokens for r in rows)
