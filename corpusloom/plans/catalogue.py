@@ -381,7 +381,8 @@ def prepare_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- near duplicates
 
-_PERM = 16
+#: The operator's default.
+_PERM = 128
 
 
 def _dedup_sql() -> str:
@@ -406,7 +407,7 @@ def dedup_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def dedup_clusters_128(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With the default number of permutations; without SQL, which takes too long for so many."""
+    """As dedup_clusters, with the defaults left to the operator."""
     return dedup.clusters(table(spark, sf_dir, "documents"), "doc_id")
 
 
