@@ -1,199 +1,198 @@
-"""Spelling rules for Belarusian: the fixed table of word beginnings, rests and replacements."""
+"""Spelling rules for Belarusian: the fixed table of patterns and replacements."""
 
 from __future__ import annotations
 
-# Fixed values, in their order, one rule a line: how the word begins; its rest, where @ is a Belarusian letter; what
-# both become, \1 being the beginning with the white space before it and \2 the first group of the rest.
-SPELLING = r"""
-[аА]	б'я(@+)	\1б’я\2
-[аА]	днім	\1дным
-[аА]	пэр(@+)	\1пер\2
-[аА]	собаў	\1соб
-[аА]	сьц(@+)	\1сц\2
-[аА]	кторк(@+)	\1ктрыс\2
-[аА]	ктор	\1кцёр
-[аА]	льгарытм(@+)	\1лгарытм\2
-[аА]	мэрык(@+)	\1мерык\2
-[аА]	нгельшчына	\1нглія
-[аА]	нгельшчыне	\1нгліі
-[аА]	нгельшчыны	\1нгліі
-[аА]	нгельск(@+)	\1нглійск\2
-[аА]	нтв[эе]рп[эе]н(@+)	\1нтверпен\2
-[аА]	ргентын(@+)	\1ргенцін\2
-[бБ]	азэл(@+)	\1азел\2
-[бБ]	азэл(@*)	\1азел\2
-[бБ]	ізнэсмэ(@+)	\1ізнесме\2
-[бБ]	ляк(@+)	\1лак\2
-[бБ]	этон(@+)	\1етон\2
-[бБ]	этон	\1етон
-[бБ]	олш	\1ольш
-[бБ]	русэл(@+)	\1русел\2
-[бБ]	эрг(@+)	\1ерг\2
-[вВ]	аеначальні(@+)	\1оеначальні\2
-[вВ]	аяводз(@+)	\1аяводс\2
-[вВ]	елікагалов(@+)	\1ялікагалов\2
-[вВ]	елікадзяржаўн(@+)	\1ялікадзяржаўн\2
-[вВ]	ерасьн(я|ем|ю)	\1ерасн\2
-[вВ]	обласьц([ьію])	\1обласц\2
-[вВ]	одарасцяў	\1одарасцей
-[Вв]	ыстав(амі|а[юй]?|у)	\1ыстаўк\2
-[вВ]	[эе]н[эе]р(@+)	\1енер\2
-[вВ]	эрф(@+)	\1ерф\2
-[вВ]	ялікадушн(@+)	\1елікадушн\2
-[вВ]	ялікакняжацк(@+)	\1елікакняжацк\2
-[вВ]	ялікалуцк(@+)	\1елікалуцк\2
-[вВ]	ялікамучанік(@+)	\1елікамучанік\2
-[вВ]	ялікаруск(@+)	\1елікаруск\2
-[вВ]	ялікасвецк(@+)	\1елікасвецк\2
-[гГ]	адзінаў	\1адзін
-[гГ]	адох	\1адах
-[гГ]	азэт(@+)	\1азет\2
-[гГ]	лябал(@+)	\1лабал\2
-(?:студзеня|лютага|сакавіка|красавіка|мая|чэрвеня|ліпеня|жніўня|верасня|кастрычніка|лістапада|снежня)	\]\] \[\[(\d+)\]\] году	\1]] [[\2]] года
-[гГ]	рамадзт(@+)	\1рамадст\2
-[дД]	амэнік(@+)	\1аменік\2
-[дД]	ачцы	\1ачцэ
-[дД]	зевяты(@+)	\1зявяты\2
-[дД]	зесяты(@+)	\1зясяты\2
-[дД]	зеячк(@*)	\1зяячк\2
-[дД]	зьвюх(@*)	\1звюх\2
-[дД]	зяяч(@*)	\1зеяч\2
-[дД]	ыплям(@+)	\1ыплам\2
-[дД]	ыплём(@+)	\1ыплом\2
-[дД]	'я(@+)	\1’я\2
-[жЖ]	анаты на	\1анаты з
-[зЗ]	аля	\1ала
-[зЗ]	аляў	\1алаў
-[уУ]	 залі	\1 зале
-[зЗ]	 дапамогаю	\1 дапамогай
-[зЗ]	 мэтаю	\1 мэтай
-[зЗ]	ьвязн(@+)	\1вязн\2
-[зЗ]	ьвян	\1вян
-[зЗ]	зьн(@+)	\1зн\2
-[зЗ]	зьл(@+)	\1зл\2
-[зЗ]	ья(@+)	\1’я\2
-[зЗ]	'я(@+)	\1’я\2
-[іІ]	мём	\1мем
-[іІ]	нвэст(@+)	\1нвест\2
-[іІ]	нтэрне(@+)	\1нтэрнэ\2
-[іІ]	нтэрвію	\1нтэрв’ю
-[іІ]	мпэр(@+)	\1мпер\2
-[кК]	азімер(@+)	\1азімір\2
-[кК]	алюмб(@+)	\1алумб\2
-[кК]	ампут[эа]р(@+)	\1амп’ютар\2
-[кК]	амп'ютэр(@+)	\1амп’ютар\2
-[кК]	анстанты(@+)	\1анстанці\2
-[кК]	аўкаскі	\1аўказскі
-[кК]	апел(ай?|[уеы])	\1апэл\2
-[кК]	ілямэтр(@+)	\1іламетр\2
-[кК]	ілямэтар	\1іламетр
-[кК]	люб(@+)	\1луб\2
-[кК]	люб	\1луб
-[кК]	лясыфік(@+)	\1ласіфік\2
-[лЛ]	етув([аеу])	\1ітв\2
-[лЛ]	ёндан([аеу])	\1ондан\2
-[лЛ]	ідэр	\1ідар
-[лЛ]	ідэр(@+)	\1ідар\2
-[лЛ]	яўрэа(@+)	\1аўрэа\2
-[лЛ]	ягенд(@+|)	\1егенд\2
-[мМ]	аянез(@+)	\1аянэз\2
-[мМ]	арсэл(@+)	\1арсел\2
-[мМ]	ачапала(@+)	\1очапала\2
-[мМ]	еньш(ы|ага|ым|аму|ыя|асць|асцей|асці|асцю|)	\1енш\2
-[нН]	айменьш(ы|ага|ым|аму|ыя|)	\1айменш\2
-[мМ]	ейсц(а?|ам|[eы])	\1есц\2
-[мМ]	ескі	\1арадскі
-[мМ]	еншасцяў	\1еншасцей
-[мМ]	іністар	\1іністр
-[мМ]	італёг(@+)	\1іфалог\2
-[мМ]	італяг(@+)	\1іфалаг\2
-[мМ]	оваў	\1оў
-[мМ]	узэ(@+)	\1узе\2
-[мМ]	этад(@+)	\1етад\2
-[мМ]	этар	\1етр
-[мМ]	этра	\1етра
-[мМ]	этраў	\1етраў
-[мМ]	этры	\1етры
-[мМ]	[еэ]н[еэ]джм[еэ]н(@+)	\1енеджмен\2
-[мМ]	юнхэн(@+)	\1юнхен\2
-[зЗнН]	алежы(ў|л[аі])	\1алежа\2
-[нН]	ідэрлянд(@+)	\1ідэрланд\2
-[нН]	эакласіц(@+)	\1еакласіц\2
-[нН]	эалі(@+)	\1еалі\2
-[нН]	эапал(@+)	\1еапал\2
-[оО]	пэр(@+)	\1пер\2
-[пП]	авал	\1авел
-[пП]	а крайняй меры	\1рынамсі
-[пП]	арлямэн(@+)	\1арламен\2
-[пП]	асьля	\1асля
-[пП]	ектын	\1екцін
-[пП]	ётар	\1ётр
-[пП]	лян(@+)	\1лан\2
-[пП]	лян	\1лан
-[пП]	радусар(@+)	\1радзюсар\2
-[пП]	рафэсар(@+)	\1рафесар\2
-[пП]	розьвішч(@+)	\1розвішч\2
-[пП]	расталінейн(@+)	\1росталінейн\2
-[пП]	рэзыдэн(@+)	\1рэзідэн\2
-[пП]	'я(@+)	\1’я\2
-[пП]	эйзаж(@+)	\1ейзаж\2
-[пП]	эрыяд(@+)	\1ерыяд\2
-[рР]	асейск(@+)	\1асійск\2
-[рР]	асейская мова	\1уская мова
-[рР]	аслаўл(@+)	\1ослаўл\2
-[рР]	эзэрв	\1эзерв
-[рР]	айн(@+)	\1эйн\2
-[рР]	айн	\1эйн
-[рР]	'я(@+)	\1’я\2
-[сС]	ардын(@+)	\1ардзін\2
-[сС]	адавінай	\1адавіной
-[сС]	езон (\d+) году	\1езон \2 года
-[сС]	екрэцы(@+)	\1акрэцы\2
-[сС]	партов(@+)	\1партыўн\2
-[сС]	тагодзьдз(@+)	\1тагоддз\2
-[сС]	таршынём	\1таршынёй
-[сС]	урвет(@+)	\1урвэт\2
-[сС]	ляваччына	\1лавакія
-[сС]	ляваччыне	\1лавакіі
-[сС]	ляваччыны	\1лавакіі
-[сС]	ьне(@+)	\1не\2
-[нН]	амесьн(@+)	\1амесн\2
-[сС]	ьмех(у?|ам)	\1мех\2
-[сС]	ьв(@+)	\1в\2
-[сС]	ымбаль	\1імвал
-[сС]	ымбалем	\1імвалам
-[сС]	экс(@+)	\1екс\2
-[сС]	эрвер(@+)	\1ервер\2
-[сС]	эры(@+)	\1еры\2
-[сС]	фэр(@+)	\1фер\2
-[сС]	ымэтр(@+)	\1іметр\2
-[сС]	юрэалізм(@+)	\1юррэалізм\2
-[тТ]	окіо	Токіа
-[тТ]	окіё	Токіа
-[тТ]	унел(@+)	\1унэл\2
-[тТ]	ок-шоў(@+)	\1ок-шоу\2
-[тТ]	экста	\1эксту
-[уУў]	ладзіме(@+)	\1ладзімі\2
-[уУў]	нів[эе]рс[іы]тэ(@+)	\1ніверсітэ\2
-[фФ]	альсыф(@+)	\1альсіф\2
-[фФ]	аун(а?|ай|[eуы])	\1аўн\2
-[фФ]	ізы(@+)	\1ізі\2
-[фФ]	ляндры(я?|[юі]|яй)	\1ландры\2
-[фФ]	эномэн	\1еномен
-[фФ]	[эе]нам[эе]н(@+)	\1енамен\2
-[хХ]	аас(@+)	\1аос\2
-[хХ]	вілінаў	\1вілін
-[цЦ]	энтар	\1энтр
-[чЧ]	алец	\1лен
-[чЧ]	альцом	\1ленам
-[чЧ]	альцы	\1лены
-[шШ]	атлянды([яію])	\1атланды\2
-[шШ]	вайцар(@+)	\1вейцар\2
-[эЭ]	кземпляр(@+)	\1кзэмпляр\2
-[эЭ]	ксп[эе]рым[эе]н(@+)	\1ксперымен\2
-[эЭ]	ўра 	Еўра 
-[эЭ]	ўрапейск(@+)	Еўрапейск\2
-[эЭ]	ўроп([уа]|[ые]|ай)	Еўроп\2
-[эЭ]|[еЕ]	ўразвяз(@+)	Еўрасаюз\2
-[эЭ]	фэкт(@+)	\1фект\2
-"""
+# Fixed values: (pattern, replacement) in their order, applied one after another.
+SPELLING = [
+    (r"((?:^|\s)[аА])б'я([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1б’я\2"),
+    (r"((?:^|\s)[аА])днім(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1дным"),
+    (r"((?:^|\s)[аА])пэр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1пер\2"),
+    (r"((?:^|\s)[аА])собаў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1соб"),
+    (r"((?:^|\s)[аА])сьц([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1сц\2"),
+    (r"((?:^|\s)[аА])кторк([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ктрыс\2"),
+    (r"((?:^|\s)[аА])ктор(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1кцёр"),
+    (r"((?:^|\s)[аА])льгарытм([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лгарытм\2"),
+    (r"((?:^|\s)[аА])мэрык([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1мерык\2"),
+    (r"((?:^|\s)[аА])нгельшчына(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нглія"),
+    (r"((?:^|\s)[аА])нгельшчыне(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нгліі"),
+    (r"((?:^|\s)[аА])нгельшчыны(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нгліі"),
+    (r"((?:^|\s)[аА])нгельск([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нглійск\2"),
+    (r"((?:^|\s)[аА])нтв[эе]рп[эе]н([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нтверпен\2"),
+    (r"((?:^|\s)[аА])ргентын([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ргенцін\2"),
+    (r"((?:^|\s)[бБ])азэл([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1азел\2"),
+    (r"((?:^|\s)[бБ])азэл([А-ЯЁІЎа-яёіў]*)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1азел\2"),
+    (r"((?:^|\s)[бБ])ізнэсмэ([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ізнесме\2"),
+    (r"((?:^|\s)[бБ])ляк([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лак\2"),
+    (r"((?:^|\s)[бБ])этон([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етон\2"),
+    (r"((?:^|\s)[бБ])этон(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етон"),
+    (r"((?:^|\s)[бБ])олш(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ольш"),
+    (r"((?:^|\s)[бБ])русэл([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1русел\2"),
+    (r"((?:^|\s)[бБ])эрг([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ерг\2"),
+    (r"((?:^|\s)[вВ])аеначальні([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1оеначальні\2"),
+    (r"((?:^|\s)[вВ])аяводз([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аяводс\2"),
+    (r"((?:^|\s)[вВ])елікагалов([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ялікагалов\2"),
+    (r"((?:^|\s)[вВ])елікадзяржаўн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ялікадзяржаўн\2"),
+    (r"((?:^|\s)[вВ])ерасьн(я|ем|ю)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ерасн\2"),
+    (r"((?:^|\s)[вВ])обласьц([ьію])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1обласц\2"),
+    (r"((?:^|\s)[вВ])одарасцяў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1одарасцей"),
+    (r"((?:^|\s)[Вв])ыстав(амі|а[юй]?|у)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ыстаўк\2"),
+    (r"((?:^|\s)[вВ])[эе]н[эе]р([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1енер\2"),
+    (r"((?:^|\s)[вВ])эрф([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ерф\2"),
+    (r"((?:^|\s)[вВ])ялікадушн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1елікадушн\2"),
+    (r"((?:^|\s)[вВ])ялікакняжацк([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1елікакняжацк\2"),
+    (r"((?:^|\s)[вВ])ялікалуцк([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1елікалуцк\2"),
+    (r"((?:^|\s)[вВ])ялікамучанік([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1елікамучанік\2"),
+    (r"((?:^|\s)[вВ])ялікаруск([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1елікаруск\2"),
+    (r"((?:^|\s)[вВ])ялікасвецк([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1елікасвецк\2"),
+    (r"((?:^|\s)[гГ])адзінаў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1адзін"),
+    (r"((?:^|\s)[гГ])адох(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1адах"),
+    (r"((?:^|\s)[гГ])азэт([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1азет\2"),
+    (r"((?:^|\s)[гГ])лябал([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лабал\2"),
+    (r"((?:^|\s)(?:студзеня|лютага|сакавіка|красавіка|мая|чэрвеня|ліпеня|жніўня|верасня|кастрычніка|лістапада|снежня))\]\] \[\[(\d+)\]\] году(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1]] [[\2]] года"),
+    (r"((?:^|\s)[гГ])рамадзт([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1рамадст\2"),
+    (r"((?:^|\s)[дД])амэнік([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аменік\2"),
+    (r"((?:^|\s)[дД])ачцы(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ачцэ"),
+    (r"((?:^|\s)[дД])зевяты([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1зявяты\2"),
+    (r"((?:^|\s)[дД])зесяты([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1зясяты\2"),
+    (r"((?:^|\s)[дД])зеячк([А-ЯЁІЎа-яёіў]*)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1зяячк\2"),
+    (r"((?:^|\s)[дД])зьвюх([А-ЯЁІЎа-яёіў]*)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1звюх\2"),
+    (r"((?:^|\s)[дД])зяяч([А-ЯЁІЎа-яёіў]*)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1зеяч\2"),
+    (r"((?:^|\s)[дД])ыплям([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ыплам\2"),
+    (r"((?:^|\s)[дД])ыплём([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ыплом\2"),
+    (r"((?:^|\s)[дД])'я([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1’я\2"),
+    (r"((?:^|\s)[жЖ])анаты на(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1анаты з"),
+    (r"((?:^|\s)[зЗ])аля(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ала"),
+    (r"((?:^|\s)[зЗ])аляў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1алаў"),
+    (r"((?:^|\s)[уУ]) залі(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1 зале"),
+    (r"((?:^|\s)[зЗ]) дапамогаю(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1 дапамогай"),
+    (r"((?:^|\s)[зЗ]) мэтаю(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1 мэтай"),
+    (r"((?:^|\s)[зЗ])ьвязн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1вязн\2"),
+    (r"((?:^|\s)[зЗ])ьвян(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1вян"),
+    (r"((?:^|\s)[зЗ])зьн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1зн\2"),
+    (r"((?:^|\s)[зЗ])зьл([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1зл\2"),
+    (r"((?:^|\s)[зЗ])ья([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1’я\2"),
+    (r"((?:^|\s)[зЗ])'я([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1’я\2"),
+    (r"((?:^|\s)[іІ])мём(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1мем"),
+    (r"((?:^|\s)[іІ])нвэст([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нвест\2"),
+    (r"((?:^|\s)[іІ])нтэрне([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нтэрнэ\2"),
+    (r"((?:^|\s)[іІ])нтэрвію(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1нтэрв’ю"),
+    (r"((?:^|\s)[іІ])мпэр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1мпер\2"),
+    (r"((?:^|\s)[кК])азімер([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1азімір\2"),
+    (r"((?:^|\s)[кК])алюмб([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1алумб\2"),
+    (r"((?:^|\s)[кК])ампут[эа]р([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1амп’ютар\2"),
+    (r"((?:^|\s)[кК])амп'ютэр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1амп’ютар\2"),
+    (r"((?:^|\s)[кК])анстанты([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1анстанці\2"),
+    (r"((?:^|\s)[кК])аўкаскі(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аўказскі"),
+    (r"((?:^|\s)[кК])апел(ай?|[уеы])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1апэл\2"),
+    (r"((?:^|\s)[кК])ілямэтр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1іламетр\2"),
+    (r"((?:^|\s)[кК])ілямэтар(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1іламетр"),
+    (r"((?:^|\s)[кК])люб([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1луб\2"),
+    (r"((?:^|\s)[кК])люб(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1луб"),
+    (r"((?:^|\s)[кК])лясыфік([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ласіфік\2"),
+    (r"((?:^|\s)[лЛ])етув([аеу])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ітв\2"),
+    (r"((?:^|\s)[лЛ])ёндан([аеу])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ондан\2"),
+    (r"((?:^|\s)[лЛ])ідэр(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ідар"),
+    (r"((?:^|\s)[лЛ])ідэр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ідар\2"),
+    (r"((?:^|\s)[лЛ])яўрэа([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аўрэа\2"),
+    (r"((?:^|\s)[лЛ])ягенд([А-ЯЁІЎа-яёіў]+|)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1егенд\2"),
+    (r"((?:^|\s)[мМ])аянез([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аянэз\2"),
+    (r"((?:^|\s)[мМ])арсэл([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1арсел\2"),
+    (r"((?:^|\s)[мМ])ачапала([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1очапала\2"),
+    (r"((?:^|\s)[мМ])еньш(ы|ага|ым|аму|ыя|асць|асцей|асці|асцю|)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1енш\2"),
+    (r"((?:^|\s)[нН])айменьш(ы|ага|ым|аму|ыя|)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1айменш\2"),
+    (r"((?:^|\s)[мМ])ейсц(а?|ам|[eы])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1есц\2"),
+    (r"((?:^|\s)[мМ])ескі(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1арадскі"),
+    (r"((?:^|\s)[мМ])еншасцяў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1еншасцей"),
+    (r"((?:^|\s)[мМ])іністар(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1іністр"),
+    (r"((?:^|\s)[мМ])італёг([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1іфалог\2"),
+    (r"((?:^|\s)[мМ])італяг([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1іфалаг\2"),
+    (r"((?:^|\s)[мМ])оваў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1оў"),
+    (r"((?:^|\s)[мМ])узэ([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1узе\2"),
+    (r"((?:^|\s)[мМ])этад([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етад\2"),
+    (r"((?:^|\s)[мМ])этар(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етр"),
+    (r"((?:^|\s)[мМ])этра(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етра"),
+    (r"((?:^|\s)[мМ])этраў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етраў"),
+    (r"((?:^|\s)[мМ])этры(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1етры"),
+    (r"((?:^|\s)[мМ])[еэ]н[еэ]джм[еэ]н([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1енеджмен\2"),
+    (r"((?:^|\s)[мМ])юнхэн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1юнхен\2"),
+    (r"((?:^|\s)[зЗнН])алежы(ў|л[аі])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1алежа\2"),
+    (r"((?:^|\s)[нН])ідэрлянд([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ідэрланд\2"),
+    (r"((?:^|\s)[нН])эакласіц([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1еакласіц\2"),
+    (r"((?:^|\s)[нН])эалі([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1еалі\2"),
+    (r"((?:^|\s)[нН])эапал([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1еапал\2"),
+    (r"((?:^|\s)[оО])пэр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1пер\2"),
+    (r"((?:^|\s)[пП])авал(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1авел"),
+    (r"((?:^|\s)[пП])а крайняй меры(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1рынамсі"),
+    (r"((?:^|\s)[пП])арлямэн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1арламен\2"),
+    (r"((?:^|\s)[пП])асьля(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1асля"),
+    (r"((?:^|\s)[пП])ектын(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1екцін"),
+    (r"((?:^|\s)[пП])ётар(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ётр"),
+    (r"((?:^|\s)[пП])лян([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лан\2"),
+    (r"((?:^|\s)[пП])лян(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лан"),
+    (r"((?:^|\s)[пП])радусар([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1радзюсар\2"),
+    (r"((?:^|\s)[пП])рафэсар([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1рафесар\2"),
+    (r"((?:^|\s)[пП])розьвішч([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1розвішч\2"),
+    (r"((?:^|\s)[пП])расталінейн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1росталінейн\2"),
+    (r"((?:^|\s)[пП])рэзыдэн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1рэзідэн\2"),
+    (r"((?:^|\s)[пП])'я([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1’я\2"),
+    (r"((?:^|\s)[пП])эйзаж([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ейзаж\2"),
+    (r"((?:^|\s)[пП])эрыяд([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ерыяд\2"),
+    (r"((?:^|\s)[рР])асейск([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1асійск\2"),
+    (r"((?:^|\s)[рР])асейская мова(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1уская мова"),
+    (r"((?:^|\s)[рР])аслаўл([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ослаўл\2"),
+    (r"((?:^|\s)[рР])эзэрв(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1эзерв"),
+    (r"((?:^|\s)[рР])айн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1эйн\2"),
+    (r"((?:^|\s)[рР])айн(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1эйн"),
+    (r"((?:^|\s)[рР])'я([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1’я\2"),
+    (r"((?:^|\s)[сС])ардын([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ардзін\2"),
+    (r"((?:^|\s)[сС])адавінай(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1адавіной"),
+    (r"((?:^|\s)[сС])езон (\d+) году(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1езон \2 года"),
+    (r"((?:^|\s)[сС])екрэцы([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1акрэцы\2"),
+    (r"((?:^|\s)[сС])партов([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1партыўн\2"),
+    (r"((?:^|\s)[сС])тагодзьдз([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1тагоддз\2"),
+    (r"((?:^|\s)[сС])таршынём(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1таршынёй"),
+    (r"((?:^|\s)[сС])урвет([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1урвэт\2"),
+    (r"((?:^|\s)[сС])ляваччына(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лавакія"),
+    (r"((?:^|\s)[сС])ляваччыне(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лавакіі"),
+    (r"((?:^|\s)[сС])ляваччыны(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лавакіі"),
+    (r"((?:^|\s)[сС])ьне([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1не\2"),
+    (r"((?:^|\s)[нН])амесьн([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1амесн\2"),
+    (r"((?:^|\s)[сС])ьмех(у?|ам)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1мех\2"),
+    (r"((?:^|\s)[сС])ьв([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1в\2"),
+    (r"((?:^|\s)[сС])ымбаль(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1імвал"),
+    (r"((?:^|\s)[сС])ымбалем(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1імвалам"),
+    (r"((?:^|\s)[сС])экс([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1екс\2"),
+    (r"((?:^|\s)[сС])эрвер([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ервер\2"),
+    (r"((?:^|\s)[сС])эры([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1еры\2"),
+    (r"((?:^|\s)[сС])фэр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1фер\2"),
+    (r"((?:^|\s)[сС])ымэтр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1іметр\2"),
+    (r"((?:^|\s)[сС])юрэалізм([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1юррэалізм\2"),
+    (r"((?:^|\s)[тТ])окіо(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"Токіа"),
+    (r"((?:^|\s)[тТ])окіё(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"Токіа"),
+    (r"((?:^|\s)[тТ])унел([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1унэл\2"),
+    (r"((?:^|\s)[тТ])ок-шоў([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ок-шоу\2"),
+    (r"((?:^|\s)[тТ])экста(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1эксту"),
+    (r"((?:^|\s)[уУў])ладзіме([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ладзімі\2"),
+    (r"((?:^|\s)[уУў])нів[эе]рс[іы]тэ([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ніверсітэ\2"),
+    (r"((?:^|\s)[фФ])альсыф([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1альсіф\2"),
+    (r"((?:^|\s)[фФ])аун(а?|ай|[eуы])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аўн\2"),
+    (r"((?:^|\s)[фФ])ізы([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ізі\2"),
+    (r"((?:^|\s)[фФ])ляндры(я?|[юі]|яй)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ландры\2"),
+    (r"((?:^|\s)[фФ])эномэн(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1еномен"),
+    (r"((?:^|\s)[фФ])[эе]нам[эе]н([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1енамен\2"),
+    (r"((?:^|\s)[хХ])аас([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1аос\2"),
+    (r"((?:^|\s)[хХ])вілінаў(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1вілін"),
+    (r"((?:^|\s)[цЦ])энтар(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1энтр"),
+    (r"((?:^|\s)[чЧ])алец(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лен"),
+    (r"((?:^|\s)[чЧ])альцом(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ленам"),
+    (r"((?:^|\s)[чЧ])альцы(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1лены"),
+    (r"((?:^|\s)[шШ])атлянды([яію])(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1атланды\2"),
+    (r"((?:^|\s)[шШ])вайцар([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1вейцар\2"),
+    (r"((?:^|\s)[эЭ])кземпляр([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1кзэмпляр\2"),
+    (r"((?:^|\s)[эЭ])ксп[эе]рым[эе]н([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1ксперымен\2"),
+    (r"((?:^|\s)[эЭ])ўра (?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"Еўра "),
+    (r"((?:^|\s)[эЭ])ўрапейск([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"Еўрапейск\2"),
+    (r"((?:^|\s)[эЭ])ўроп([уа]|[ые]|ай)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"Еўроп\2"),
+    (r"((?:^|\s)[эЭ]|[еЕ])ўразвяз([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"Еўрасаюз\2"),
+    (r"((?:^|\s)[эЭ])фэкт([А-ЯЁІЎа-яёіў]+)(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)", r"\1фект\2"),
+]

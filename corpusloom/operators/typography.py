@@ -20,10 +20,6 @@ from corpusloom.operators.cleaners import put
 from corpusloom.operators.spelling_table import SPELLING
 
 NB = "\u00a0"
-_UPPER, _LOWER = "А-ЯЁЎІ", "а-яёўі"
-_LETTER = "[А-ЯЁІЎа-яёіў]"
-#: No letter and no stress mark may follow a rule's word.
-_AFTER = "(?=[^A-ZА-ЯЁІЎa-zа-яёіў\u0301]|$)"
 _CYRILLIC = re.compile("[а-яА-ЯёЁўЎіІ]")
 _TOKEN = re.compile(r"[\w'’ʼ]+")
 
@@ -70,12 +66,12 @@ HARD_BLANKS = [
     (r"([12]?\d{3}) ?(гг?\.)", rf"\1{NB}\2", 0),
     (r"([(\s])([IVX]{1,5})[\u00a0 ]?(?:-{1,3}|—) ?([IVX]{1,5})(?![\w-])", r"\1\2—\3", 0),
     (r"([IVX]{1,5}) ?(стст?\.)", rf"\1{NB}\2", 0),
-    (rf'(\d)[\u00a0 ]?(млн|млрд|трлн|(?:м|с|д|к)?м|[км]г)\.?(?=[,;.]| "?[{_LOWER}-])', rf"\1{NB}\2", 0),
+    (rf'(\d)[\u00a0 ]?(млн|млрд|трлн|(?:м|с|д|к)?м|[км]г)\.?(?=[,;.]| "?[а-яёўі-])', rf"\1{NB}\2", 0),
     (r"(\d)[\u00a0 ](тыс)([^\.А-Яа-яЁёЎўІі])", rf"\1{NB}\2.\3", 0),
     (r"ISBN:\s?(?=[\d\-]{8,17})", "ISBN ", 0),
-    (rf"([{_UPPER}]\.) ?([{_UPPER}]\.) ?([{_UPPER}][{_LOWER}])", rf"\1{NB}\2{NB}\3", 0),
-    (rf"([{_UPPER}]\.)([{_UPPER}]\.)", r"\1 \2", 0),
-    (rf"([{_LOWER}]\.)([А-ЯA-ZЁЎІ])", r"\1 \2", 0),
+    (rf"([А-ЯЁЎІ]\.) ?([А-ЯЁЎІ]\.) ?([А-ЯЁЎІ][а-яёўі])", rf"\1{NB}\2{NB}\3", 0),
+    (rf"([А-ЯЁЎІ]\.)([А-ЯЁЎІ]\.)", r"\1 \2", 0),
+    (rf"([а-яёўі]\.)([А-ЯA-ZЁЎІ])", r"\1 \2", 0),
     (r'([)"а-яa-zёўі\]])\s*,([\[("а-яa-zёўі])', r"\1, \2", 0),
     (r'([)"а-яa-zёўі\]])\s([,;])\s([\[("а-яa-zёўі])', r"\1\2 \3", 0),
     (r"([^%/\w]\d+?(?:[.,]\d+?)?) ?([%‰])(?!-[А-Яа-яЁёЎўІі])", rf"\1{NB}\2", 0),
@@ -110,15 +106,19 @@ def load_lexicon(path: str) -> dict[str, str]:
     return pairs
 
 
+#: Parts of a pattern that stand for more than one string of characters.
+_VARIABLE = re.compile(r"\(\?=.*\)$|\\.|\[[^\]]*\][?+*]?|\([^()]*\)[?+*]?|.[?*]|[()|]")
+
+
+def needle_of(pattern: str) -> str:
+    """The longest string that each match of a spelling pattern contains."""
+    return max(_VARIABLE.split(pattern), key=len)
+
+
 @lru_cache(1)
 def spelling_rules() -> list[tuple[re.Pattern, str, str]]:
     """(pattern, replacement, letters that must occur)."""
-    out = []
-    for line in SPELLING.strip("\n").split("\n"):
-        head, rest, new = line.split("\t")
-        needle = max(re.split(r"[@()|?+*\\\[\]]", re.sub(r"\[[^\]]*\]|\([^)]*\)|.\?|\\.", "\\\\", rest)), key=len)
-        out.append((re.compile(rf"((?:^|\s){head}){rest.replace('@', _LETTER)}{_AFTER}"), new, needle))
-    return out
+    return [(re.compile(pattern), new, needle_of(pattern)) for pattern, new in SPELLING]
 
 
 @lru_cache(8)
