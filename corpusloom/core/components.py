@@ -2,27 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusloom.core.workspace import cut
 
+#: A key is hot if it holds more than one row of so many; there are no more hot keys than that.
+HOT = 1000
 
-def _star(pairs: DataFrame) -> DataFrame:
-    """pairs (node, near) -> each pair with the smallest of the node and all its near ones.
 
-    The minimum is a partial aggregation, so a hub with very many neighbours moves one row a task; the join back has a
-    plain equality key, so that adaptive execution can split a large partition.
+def join_split(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, how: str = "inner") -> DataFrame:
+    """left join right (one row a key), without sending all of a hot key's rows to one task.
+
+    right's column ``rows`` says how many of left's ``total`` rows a key has. The hot keys, at most HOT as their rows add
+    up to the total, are broadcast; all others are shuffled.
     """
-    low = pairs.groupBy("node").agg(F.min("near").alias("low"))
-    low = low.select("node", F.least("node", "low").alias("low"))
-    return pairs.join(low, "node")
+    hot = right.where(F.col(rows) * HOT > total)
+    spread = left.join(F.broadcast(hot), keys)
+    return spread.unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col(rows) * HOT <= total), keys, how))
+
+
+def _star(pairs: DataFrame, total: int) -> DataFrame:
+    """pairs (node, near), ``total`` of them -> each pair with the smallest of the node and all its near ones."""
+    low = pairs.groupBy("node").agg(F.min("near").alias("low"), F.count("*").alias("rows"))
+    low = low.select("node", F.least("node", "low").alias("low"), "rows")
+    return join_split(pairs, low, ["node"], "rows", total).drop("rows")
 
 
 def _settled(pairs: DataFrame) -> bool:
     """Whether every node points at one smaller node that points at none: that one is then its component's smallest."""
-    n, distinct = pairs.agg(F.count("*"), F.count_distinct("node")).first()
-    return n == distinct and not pairs.join(pairs.select(F.col("node").alias("near")), "near", "left_semi").limit(1).count()
+    roles = pairs.select(F.col("node").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    roles = roles.union(pairs.select("near", F.lit(0), F.lit(1)))
+    return not roles.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").limit(1).count()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -32,19 +43,23 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     folder. Null ends and loops carry no link; a node that has only a loop is its own component.
     """
     ends = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    now = cut(ends.select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("near")).distinct(), "edges")
+    seen = Observation()
+    rows = F.count("*").alias("rows")
+    now = cut(ends.select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("near")).distinct().observe(seen, rows), "edges")
     every = now
     now = now.where("node <> near")
     for _ in range(max_rounds):
         if _settled(now):
             break
+        total = 2 * seen.get["rows"]
         both = now.union(now.select(F.col("near").alias("node"), F.col("node").alias("near")))
-        large = _star(both).where("near > node").select(F.col("near").alias("node"), F.col("low").alias("near"))
+        large = _star(both, total).where("near > node").select(F.col("near").alias("node"), F.col("low").alias("near"))
         large = large.where("node <> near").distinct()
-        small = _star(large)
+        small = _star(large, total)
         now = small.select(F.col("near").alias("node"), F.col("low").alias("near"))
         now = now.union(small.select("node", F.col("low").alias("near"))).where("node <> near").distinct()
-        now = cut(now, "stars")
+        seen = Observation()
+        now = cut(now.observe(seen, rows), "stars")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = every.select("node").union(every.select("near")).distinct()
