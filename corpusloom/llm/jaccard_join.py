@@ -1,21 +1,23 @@
 """N-gram Jaccard join: all links of similarity t or more between shingle sets, exactly, and their connected classes.
 
-Equal sets are one node. Nodes meet in three steps; no step lists all pairs of a group.
+Equal sets are one node. Links are overlap counts of a blocked sparse product of the incidence matrix of sets by shingles;
+which rows meet in a block is settled first. No step lists all pairs of a group.
 
 1. Candidate clusters. The sizes are cut into classes so that linked sets lie in one class or in neighbouring ones.
    Two linked sets of up to h shingles each differ in at most d = 2h(1-t)/(1+t) shingles; so if the hash range is cut
    into more than d parts, they agree wholly in all but d of them (pigeonhole). Each set sends one signature per part
    that it fills. A set that fills no more parts than can differ might agree in empty parts only: it sends, beside
-   these, the signatures of a second cut by another hash, and so on until it fills more. All sets of one signature are
-   tied to one of them (a star, not all pairs), first within the task, then once per signature over all tasks;
-   clusters are the components of these ties.
-   A cluster beyond a block's size is parted once more: sketches (a byte of hash and a size for every part) give a
-   lower bound of what two sets differ in, and only sets that may link stay together.
-2. Within a cluster, a blocked sparse matrix product of the incidence matrix (sets by shingles) with its transpose
-   accumulates overlap counts column block by column block. Clusters beyond a block's size are dealt into blocks by
-   size class and hash, and each pair of blocks whose size bounds allow a link is one unit of work of bounded size.
-   A unit yields its linked sets' spanning forest and degrees, never pairs.
-3. Components of the forests.
+   these, the signatures of a second cut by another hash, and so on until it fills more, and after TURNS cuts each of its
+   shingles. All sets of one signature are tied to one of them (a star, not all pairs), first within the task, then once
+   per signature over all tasks; clusters are the components of these ties.
+2. A cluster beyond a block's size may hang together by common passages. Its sets are ordered by how frequent their
+   shingles are, rarest first, and by the size bound linked sets share one of their first n - ceil(t n) + 1: each set
+   sends these, ties are made as above, and the cluster falls into the components of the ties. What moves grows with the sets.
+3. Within a cluster, the product of its incidence matrix with its transpose accumulates overlap counts: shingles of few
+   sets pair by pair into the counts, those of many in blocks of columns. Clusters still beyond a block's size (sets that
+   share rare shingles) are dealt into blocks by size class and hash, and each pair of blocks whose size bounds
+   allow a link is one unit of work of bounded size. A unit yields its linked sets' spanning forest and degrees, never pairs.
+4. Components of the forests.
 
 Word and shingle hashes have 64 bits. Nodes are named by 64 bits of a digest of the set; a second 64 bits are compared,
 and a clash stops the run rather than joining two sets.
@@ -30,18 +32,24 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusloom.core.components import connected_components
+from corpusloom.core.components import connected_components, join_split
 from corpusloom.core.workspace import cut
 from corpusloom.llm.batches import map_batches, slices, texts
 from corpusloom.llm.words import WordHashes, mix, shingle_set
 
-#: A unit of step 2 holds two blocks of at most so many shingles and sets.
+#: A unit of step 3 holds two blocks of about so many shingles (8 bytes each) and sets at most.
 BLOCK_SHINGLES, BLOCK_SETS = 1 << 20, 2048
-#: Shingles whose columns are multiplied at once.
-COLUMNS = 4096
+#: Shingles of more sets than FEW are multiplied as blocks of COLUMNS columns.
+FEW, COLUMNS = 8, 4096
+#: Cuts of step 1 after which a set sends its shingles one by one.
+TURNS = 60
+#: Counters of how frequent shingles are, in step 2: 1 MB whatever the input. They only order shingles, so that a
+#: clash of two costs time and no link.
+COUNTERS = 1 << 17
 #: Bits of the filter that spares reading texts of no cluster a second time: 2 MB whatever the input.
 FILTER_WORDS = 1 << 18
 
@@ -124,54 +132,17 @@ def signatures(grams: np.ndarray, sizes: Sizes) -> np.ndarray:
             good = size >= least
             out.append(mix(content[good] + mix(part[good] + np.uint64((tag << 40) + (turn << 32) + 1))))
             # of more such parts than can differ, one agrees
-            if np.count_nonzero(good) > differ or turn > 60:
+            if np.count_nonzero(good) > differ:
                 break
             turn += 1
+            if turn >= TURNS:
+                # of two linked sets, one that ended a cut has met the other there; two that did not share a shingle
+                out.append(mix(grams + np.uint64((tag << 40) + 1)))
+                break
             g = np.sort(mix(grams ^ np.uint64(turn * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)))
     return np.concatenate(out)
 
 
-def sketch(grams: np.ndarray, parts: int) -> bytes:
-    """For each part one byte of a hash of its content, then for each part its size, up to 255."""
-    out = np.zeros((2, parts), np.uint8)
-    part, size, content = _cut(grams, parts)
-    at = part.astype(np.int64)
-    out[0, at] = (mix(content) >> np.uint64(56)).astype(np.uint8)
-    out[1, at] = np.minimum(size, 255)
-    return out.tobytes()
-
-
-def sketches(grams: np.ndarray, sizes: Sizes) -> tuple[bytes, bytes]:
-    """Sketches to compare a set with its own class, and with the next."""
-    own = sizes.of(len(grams))
-    return sketch(grams, sizes.parts(own)[0]), sketch(grams, sizes.parts(own + 1)[0])
-
-
-def may_link(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
-    """Boolean [a, b]: whether sketches allow a link. a, b are [set, hash or size, part].
-
-    Parts of other sizes differ in as many shingles at least; parts of one size but other content in two.
-    """
-    differ = (100 - percent) * (na[:, None] + nb[None, :]) // (100 + percent)
-    bound = np.minimum(na[:, None], nb[None, :]) * 100 >= percent * np.maximum(na[:, None], nb[None, :])
-    k = a.shape[2]
-    first = k * 2 // 3 if k > 30 else k  # enough to tell most pairs apart
-    out = np.zeros((len(a), len(b)), bool)
-
-    def least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-        more = np.abs(x[..., 1, :].astype(np.int16) - y[..., 1, :])
-        return np.where(more > 0, more, 2 * (x[..., 0, :] != y[..., 0, :])).sum(axis=-1, dtype=np.int32)
-
-    step = max(1, (4 << 20) // max(1, len(b) * first))
-    for i in range(0, len(a), step):
-        near = bound[i : i + step] & (least(a[i : i + step, None, :, :first], b[None, :, :, :first]) <= differ[i : i + step])
-        x, y = np.nonzero(near)
-        for at in range(0, len(x), max(1, (4 << 20) // k)):
-            p, q = x[at : at + max(1, (4 << 20) // k)], y[at : at + max(1, (4 << 20) // k)]
-            out[i + p, q] = least(a[i + p], b[q]) <= differ[i + p, q]
-    return out
-
-
 def node_of(grams: np.ndarray) -> tuple[int, int]:
     """(name, check) of a set: two signed 64-bit parts of one digest."""
     d = hashlib.blake2b(grams.tobytes(), digest_size=16).digest()
@@ -188,19 +159,17 @@ def _sets(batch: pa.RecordBatch, n: int) -> list[np.ndarray]:
     return [shingle_set(t.lower().split(), n, _hashes) for t in texts(batch, "t")]
 
 
-def _names(documents: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """One row per document: (id, n_shingles, node, node_check, own, next); an empty set has no node and no sketches."""
-    sizes = Sizes(percent)
+def _names(documents: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: (id, n_shingles, node, node_check); an empty set has no node."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = _sets(batch, n)
         nodes = [node_of(g) if len(g) else (None, None) for g in sets]
-        drawn = [sketches(g, sizes) if len(g) else (None, None) for g in sets]
         longs = [pa.array(map(len, sets), pa.int64()), pa.array([a for a, _ in nodes], pa.int64()), pa.array([b for _, b in nodes], pa.int64())]
-        return pa.record_batch([batch.column("i"), *longs, pa.array([a for a, _ in drawn], pa.binary()), pa.array([b for _, b in drawn], pa.binary())], names=["id", "n_shingles", "node", "node_check", "own", "next"])
+        return pa.record_batch([batch.column("i"), *longs], names=["id", "n_shingles", "node", "node_check"])
 
     kind = documents.schema[id_col].dataType.simpleString()
-    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"id {kind}, n_shingles bigint, node bigint, node_check bigint, own binary, next binary")
+    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"id {kind}, n_shingles bigint, node bigint, node_check bigint")
 
 
 def _ties(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,45 +180,47 @@ def _ties(sig: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return first, *np.unique(np.stack([hub[other], node[other]]), axis=1)
 
 
-def _signature_rows(documents: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """(sig, node, tied): signatures, one node each and task part; and where tied is set, a tie found in the task."""
+def _tie_rows(keys: list[np.ndarray], names: list[int]) -> pa.RecordBatch:
+    """(key, node, tied) of sets with their keys and names: one node each key, and where tied is set, a tie found here."""
+    key, node = np.concatenate(keys), np.repeat(np.array(names, np.int64), [len(k) for k in keys])
+    order = np.lexsort((node, key))
+    first, hub, other = _ties(key[order], node[order])
+    # in the order of the sets again: equal names side by side pack well in the shuffle
+    order = np.sort(order[first])
+    key, node = key[order].view(np.int64), node[order]
+    tied = np.concatenate([np.zeros(len(key), np.int64), other])
+    mask = np.arange(len(tied)) < len(key)
+    # a tie rides along under its own node's name
+    return pa.record_batch([pa.array(np.concatenate([key, other])), pa.array(np.concatenate([node, hub])), pa.array(tied, mask=mask)], names=["key", "node", "tied"])
+
 
+def _signature_rows(documents: DataFrame, n: int, percent: int, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(percent)
         seen: set[int] = set()
         for whole in batches:
             for batch in slices(whole, "t"):
-                sigs, nodes = [], []
+                sigs, names = [], []
                 for g in _sets(batch, n):
                     if len(g) and (name := node_of(g)[0]) not in seen:
                         if len(seen) > 500_000:
                             seen.clear()
                         seen.add(name)
-                        sigs.append(s := signatures(g, sizes))
-                        nodes.append(np.full(len(s), name, np.int64))
-                if not sigs:
-                    continue
-                sig, node = np.concatenate(sigs), np.concatenate(nodes)
-                order = np.lexsort((node, sig))
-                first, hub, other = _ties(sig[order], node[order])
-                # in the order of the sets again: equal names side by side pack well in the shuffle
-                order = np.sort(order[first])
-                sig, node = sig[order].view(np.int64), node[order]
-                tied = np.concatenate([np.zeros(len(sig), np.int64), other])
-                mask = np.arange(len(tied)) < len(sig)
-                # a tie rides along under its own node's name
-                yield pa.record_batch([pa.array(np.concatenate([sig, other])), pa.array(np.concatenate([node, hub])), pa.array(tied, mask=mask)], names=["sig", "node", "tied"])
-
-    return documents.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "sig bigint, node bigint, tied bigint")
+                        sigs.append(signatures(g, sizes))
+                        names.append(name)
+                if sigs:
+                    yield _tie_rows(sigs, names)
+
+    return documents.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "key bigint, node bigint, tied bigint")
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (sig, node, tied) rows -> distinct ties (a, b), in streaming: only the open signature's hub is held."""
+    """Sorted (key, node, tied) rows -> distinct ties (a, b), in streaming: only the open signature's hub is held."""
     open_sig = open_hub = None
     for b in batches:
         tied = b.column("tied")
         is_tie = tied.is_valid().to_numpy(zero_copy_only=False)
-        sig, node = b.column("sig").to_numpy(), b.column("node").to_numpy()
+        sig, node = b.column("key").to_numpy(), b.column("node").to_numpy()
         a, c = node[is_tie], tied.drop_null().to_numpy()
         sig, node = sig[~is_tie], node[~is_tie]
         if len(sig):
@@ -263,44 +234,109 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(a), pa.array(c)], names=["a", "b"])
 
 
-def candidate_ties(documents: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct (a, b) of nodes that share a signature with a common hub."""
-    rows = _signature_rows(documents, n, percent, id_col, text_col)
+def _met(rows: DataFrame) -> DataFrame:
+    """Distinct (a, b) of nodes that share a key with a common hub."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = rows.repartition(parts, "sig").sortWithinPartitions("sig", "node").mapInArrow(_meet, "a bigint, b bigint")
-    return met.distinct()
+    return rows.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_meet, "a bigint, b bigint").distinct()
+
+
+def candidate_ties(documents: DataFrame, n: int, percent: int, text_col: str) -> DataFrame:
+    return _met(_signature_rows(documents, n, percent, text_col))
 
 
 # -- step 2
 
 
+def _counted(sets: DataFrame) -> np.ndarray:
+    """How often shingles are in the sets, by COUNTERS remainders of their hash."""
+    size = COUNTERS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(size, np.int64)
+        for b in batches:
+            if b.num_rows:
+                every = np.concatenate([np.frombuffer(g.as_buffer(), np.uint64) for g in b.column("grams")])
+                n += np.bincount((every % np.uint64(size)).astype(np.int64), minlength=size)
+        at = np.flatnonzero(n)
+        yield pa.record_batch([pa.array(at), pa.array(n[at])], names=["at", "n"])
+
+    rows = sets.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(size, np.int64)
+    out[rows["at"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
+
+def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """The rarest shingles of a set, of which it shares one with each linked set."""
+    n = len(grams)
+    first = n - -(-percent * n // 100) + 1
+    return grams[np.lexsort((grams, counts[(grams % np.uint64(len(counts))).astype(np.int64)]))[:first]]
+
+
+def _parted(documents: DataFrame, members: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """members of large clusters, each cluster parted into the components of the ties by rare shingles."""
+    held = documents.sparkSession.sparkContext.broadcast(_counted(_read_sets(documents, members, n, id_col, text_col)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys = [prefix(np.frombuffer(g.as_buffer(), np.uint64), held.value, percent) for g in b.column("grams")]
+            if keys:
+                yield _tie_rows(keys, b.column("node").to_pylist())
+
+    rows = _read_sets(documents, members, n, id_col, text_col).mapInArrow(run, "key bigint, node bigint, tied bigint")
+    # a set without a tie links with none
+    return members.join(connected_components(_met(rows)), "node").withColumn("cluster", F.xxhash64("cluster", "component")).drop("component")
+
+
+# -- step 3
+
+
+def overlaps(grams: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the sets' intersections (the diagonal is not filled in): the incidence matrix by its transpose."""
+    m = len(grams)
+    owner = np.repeat(np.arange(m, dtype=np.int32), [len(g) for g in grams])
+    flat = np.concatenate(grams)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    del order
+    at = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+    df = np.diff(np.append(at, len(flat)))
+    counts = np.zeros((m, m), np.int32)
+    flat_counts = counts.reshape(-1)
+    # a shingle of few sets: one more for each two of them
+    for d in range(2, FEW + 1):
+        for some in np.array_split(at[df == d], max(1, np.count_nonzero(df == d) * d // 500_000)):
+            own = owner[some[:, None] + np.arange(d)]
+            for k in range(1, d):
+                a, b = own[:, :-k].ravel().astype(np.int64), own[:, k:].ravel().astype(np.int64)
+                np.add.at(flat_counts, np.concatenate([a * m + b, b * m + a]), 1)
+    # shingles of many: blocks of columns; a block's counts are below 2^24, exact in single precision
+    many = at[df > FEW]
+    sizes = df[df > FEW]
+    for c in range(0, len(many), COLUMNS):
+        size = sizes[c : c + COLUMNS]
+        entry = np.repeat(many[c : c + COLUMNS] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        rows, row = np.unique(owner[entry], return_inverse=True)  # only sets with a shingle in this block
+        block = np.zeros((len(rows), len(size)), np.float32)
+        block[row, np.repeat(np.arange(len(size)), size)] = 1
+        for i in range(0, len(rows), 512):
+            counts[np.ix_(rows[i : i + 512], rows)] += (block[i : i + 512] @ block.T).astype(np.int32)
+    return counts
+
+
 def overlap_links(grams: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> np.ndarray:
     """Boolean matrix of linked sets. With ``side`` (0 or 1 each), links within one side count for nothing."""
-    m = len(grams)
     n = np.array([len(g) for g in grams], np.int64)
-    owner = np.repeat(np.arange(m), n)
-    _, col, df = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
-    shared = df[col] > 1  # a shingle of one set overlaps with none
-    owner, col = owner[shared], col[shared]
-    new = np.cumsum(np.bincount(col, minlength=len(df)) > 0) - 1
-    col = new[col]
-    order = np.argsort(col, kind="stable")
-    owner, col = owner[order], col[order]
-    counts = np.zeros((m, m), np.float32)
-    width = int(col[-1]) + 1 if len(col) else 0
-    for c in range(0, width, COLUMNS):
-        lo, hi = np.searchsorted(col, [c, c + COLUMNS])
-        rows = np.unique(owner[lo:hi])  # only sets with a shingle in this block
-        block = np.zeros((len(rows), min(COLUMNS, width - c)), np.float32)
-        block[np.searchsorted(rows, owner[lo:hi]), col[lo:hi] - c] = 1
-        counts[np.ix_(rows, rows)] += block @ block.T
-    both = n[:, None] + n[None, :]
-    inter = counts.astype(np.int64)
-    bound = np.minimum(n[:, None], n[None, :]) * 100 >= percent * np.maximum(n[:, None], n[None, :])
-    link = bound & (100 * inter >= percent * (both - inter)) & (inter > 0)
+    counts = overlaps(grams)
+    link = np.zeros(counts.shape, bool)
+    for i in range(0, len(n), 512):
+        part = slice(i, i + 512)
+        inter, both = counts[part].astype(np.int64), n[part, None] + n[None, :]
+        bound = np.minimum(n[part, None], n[None, :]) * 100 >= percent * np.maximum(n[part, None], n[None, :])
+        link[part] = bound & (100 * inter >= percent * (both - inter)) & (inter > 0)
+        if side is not None:
+            link[part] &= side[part, None] != side[None, :]
     np.fill_diagonal(link, False)
-    if side is not None:
-        link &= side[:, None] != side[None, :]
     return link
 
 
@@ -325,7 +361,8 @@ def _unit(at: list[int], rows: list[tuple], percent: int) -> list[tuple[int, int
     grams = [np.frombuffer(r[1], np.uint64) for r in rows]
     side = np.array([r[3] for r in rows])
     link = overlap_links(grams, percent, None if at[1:3] == at[3:] else side)
-    degree = link.astype(np.float64) @ np.array([r[2] for r in rows], np.float64)
+    copies = np.array([r[2] for r in rows], np.int64)
+    degree = np.array([copies[row].sum() for row in link])
     label = forest(link)
     return [(rows[label[i]][0], rows[i][0], int(degree[i])) for i in np.flatnonzero(degree)]
 
@@ -361,36 +398,6 @@ def _units(percent: int):
     return run
 
 
-def _refine_unit(at: list[int], rows: list[tuple], percent: int) -> list[tuple[int, int]]:
-    """rows (node, size, own, next, side) of the unit at (cluster, j, x, k, y) -> (root, node) of what may link."""
-    size = np.array([r[1] for r in rows])
-    side = np.array([r[4] for r in rows])
-    drawn = lambda r, col: np.frombuffer(r[col], np.uint8).reshape(2, -1)
-    link = np.zeros((len(rows), len(rows)), bool)
-    if at[1:3] == at[3:]:
-        all_ = np.stack([drawn(r, 2) for r in rows])
-        link = may_link(all_, all_, size, size, percent)
-        np.fill_diagonal(link, False)
-    elif 0 < side.sum() < len(side):
-        # of neighbouring classes, the lower is drawn for the next; blocks of one class are drawn for their own
-        low, high = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        col = 3 if at[1] != at[3] else 2
-        got = may_link(np.stack([drawn(rows[i], col) for i in low]), np.stack([drawn(rows[i], 2) for i in high]), size[low], size[high], percent)
-        link[np.ix_(low, high)] = got
-        link[np.ix_(high, low)] = got.T
-    label = forest(link)
-    return [(rows[label[i]][0], rows[i][0]) for i in np.flatnonzero(link.any(axis=1)) if label[i] != i]
-
-
-def _refined(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, rows in _by_unit(batches):
-            if out := _refine_unit(at, rows, percent):
-                yield pa.record_batch([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["a", "b"])
-
-    return run
-
-
 def _filter_hash(ids: np.ndarray, words: int) -> np.ndarray:
     h = mix(ids.view(np.uint64) + np.uint64(0x5851F42D4C957F2D))
     return np.stack([h % np.uint64(words * 64), (h >> np.uint64(32)) % np.uint64(words * 64)])
@@ -439,13 +446,13 @@ def _read_sets(documents: DataFrame, members: DataFrame, n: int, id_col: str, te
 _KEY = ["cluster", "j", "x", "k", "y"]
 
 
-def _large(members: DataFrame) -> DataFrame:
-    """The clusters that are dealt into blocks."""
+def _clusters(members: DataFrame) -> DataFrame:
+    """(cluster, m, large): the number of its members, and whether they are more than a block holds."""
     whole = members.groupBy("cluster").agg(F.sum("size").alias("w"), F.count("*").alias("m"))
-    return whole.where((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).select("cluster")
+    return whole.select("cluster", "m", ((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).alias("large"))
 
 
-def _dealt(members: DataFrame, percent: int) -> DataFrame:
+def _dealt(members: DataFrame, total: int, percent: int) -> DataFrame:
     """Members (cluster, node, rep, copies, size), each once for every unit that it takes part in: with _KEY and side.
 
     Only names and sizes are dealt here; the sets join them afterwards, once.
@@ -454,20 +461,18 @@ def _dealt(members: DataFrame, percent: int) -> DataFrame:
     sizes._grow(1 << 40)
     bounds = F.array(*[F.lit(x) for x in sizes.low])
     members = members.withColumn("class", F.size(F.filter(bounds, lambda b: b <= F.col("size"))) - 1)
-    whole = members.groupBy("cluster").agg(F.sum("size").alias("w"), F.count("*").alias("m")).where("m > 1")
-    whole = whole.select("cluster", ((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).alias("large"))
-    members = members.join(whole, "cluster")
+    members = join_split(members, _clusters(members).where("m > 1"), ["cluster"], "m", total).drop("m")
     blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int")
     large = members.where("large")
-    per = large.groupBy("cluster", "class").agg(blocks.alias("nb"))
+    per = large.groupBy("cluster", "class").agg(blocks.alias("nb"), F.count("*").alias("m"))
     none = F.lit(0).cast("int")
     out = [*_KEY, "node", "rep", "copies", "side"]
     small = members.where("not large").select("cluster", *[none.alias(k) for k in _KEY[1:]], "node", "rep", "copies", none.alias("side"))
     # own class: blocks x <= y; neighbouring classes: every x against every y
-    dealt = large.join(per, ["cluster", "class"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     up = per.select("cluster", (F.col("class") - 1).alias("class"), F.col("nb").alias("nb_up"))
     down = per.select("cluster", (F.col("class") + 1).alias("class"), F.col("nb").alias("nb_down"))
-    dealt = dealt.join(up, ["cluster", "class"], "left").join(down, ["cluster", "class"], "left")
+    per = per.join(up, ["cluster", "class"], "left").join(down, ["cluster", "class"], "left")
+    dealt = join_split(large, per, ["cluster", "class"], "m", total).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     c, b = F.col("class"), F.col("b")
     unit = lambda j, x, k, y, side: F.struct(j.alias("j"), x.alias("x"), k.alias("k"), y.alias("y"), side.cast("int").alias("side"))
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -478,6 +483,41 @@ def _dealt(members: DataFrame, percent: int) -> DataFrame:
     return small.select(*out).union(dealt.select(*out))
 
 
+def _classes(documents: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: (id, n_shingles, node, low, n_links). low is (id, node) of the first document of the class;
+    node and low are null where a document takes no part."""
+    names = cut(_names(documents, n, id_col, text_col), "sets")
+    known = names.where("id is not null and node is not null")
+    # one document to read each set from
+    rep = known.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("size"), (F.min("node_check") != F.max("node_check")).alias("clash"))
+    seen = Observation()
+    rep = cut(rep.observe(seen, F.sum("copies").alias("rows"), F.bool_or("clash").alias("clash")).drop("clash"), "nodes")
+    totals = seen.get if rep.limit(1).count() else {"rows": 0, "clash": False}
+    if totals["clash"]:
+        raise RuntimeError("two different sets have one 64-bit name")
+    with_id = documents.where(F.col(f"`{id_col}`").isNotNull())
+    clusters = connected_components(candidate_ties(with_id, n, percent, text_col)).withColumnRenamed("component", "cluster")
+    members = cut(clusters.join(rep, "node"), "members")
+    total = members.count()
+    large = join_split(members, _clusters(members), ["cluster"], "m", total).drop("m")
+    if _clusters(members).where("large").limit(1).count():
+        parted = _parted(documents, large.where("large").drop("large"), n, percent, id_col, text_col)
+        members = cut(large.where("not large").drop("large").unionByName(parted), "parted")
+    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    units = _dealt(members, total, percent).join(_read_sets(documents, members, n, id_col, text_col), ["node", "rep"])
+    units = units.select(*_KEY, "node", "grams", "copies", "side").repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "node")
+    links = cut(units.mapInArrow(_units(percent), "a bigint, b bigint, degree bigint"), "links")
+    component = connected_components(links)
+    degree = links.groupBy(F.col("b").alias("node")).agg(F.sum("degree").alias("degree"))
+    placed = cut(rep.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
+    low = placed.groupBy("component").agg(F.min(F.struct("rep", "node")).alias("low"), F.count("*").alias("m"))
+    placed = join_split(placed, low, ["component"], "m", totals["rows"]).join(degree, "node", "left")
+    placed = cut(placed.select("node", "low", "copies", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "found")
+    out = join_split(known.select("id", "n_shingles", "node"), placed, ["node"], "copies", totals["rows"]).drop("copies")
+    rest = names.where("id is null or node is null").select("id", "n_shingles", F.lit(None).cast("bigint").alias("node"))
+    return out.unionByName(rest, allowMissingColumns=True)
+
+
 def jaccard_classes(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (<id_col>, n_shingles, component_id, n_links).
 
@@ -486,46 +526,24 @@ def jaccard_classes(documents: DataFrame, n: int = 5, percent: int = 80, id_col:
     the smallest id reachable by links, n_links the number of other documents linked with it directly.
 
     Null or empty texts and texts without words link with nothing. A row without id takes no part: its component_id is
-    null and its n_links 0. Rows repeated with id and text are linked with one another. Other columns are not read.
+    null and its n_links 0. Rows repeated with id and text are linked with one another. Texts are read whole, however
+    long. An empty table gives an empty result. Other columns are not read.
     """
-    names = cut(_names(documents, n, percent, id_col, text_col), "sets")
-    known = names.where("id is not null and node is not null")
-    clash = known.groupBy("node").agg((F.min("node_check") != F.max("node_check")).alias("clash")).where("clash").limit(1).count()
-    if clash:
-        raise RuntimeError("two different sets have one 64-bit name")
-    with_id = documents.where(F.col(f"`{id_col}`").isNotNull())
-    clusters = connected_components(candidate_ties(with_id, n, percent, id_col, text_col)).withColumnRenamed("component", "cluster")
-    # one document to read each set from
-    rep = cut(known.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("size")), "nodes")
-    members = cut(clusters.join(rep, "node"), "members")
-    parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    at_units = lambda df: df.repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "node")
-    large = _large(members)
-    # large clusters hang together by common passages: sketches part them before any sets are moved
-    drawn = known.select("node", F.col("id").alias("rep"), "own", "next", F.col("n_shingles").alias("n"))
-    near = _dealt(members.join(large, "cluster", "left_semi"), percent).join(drawn, ["node", "rep"]).select(*_KEY, "node", "n", "own", "next", "side")
-    parted = connected_components(at_units(near).mapInArrow(_refined(percent), "a bigint, b bigint")).select("node", F.col("component").alias("parted"))
-    members = members.join(large, "cluster", "left_anti").unionByName(members.join(large, "cluster", "left_semi").join(parted, "node").drop("cluster").withColumnRenamed("parted", "cluster"))
-    members = cut(members, "parted")
-    units = _dealt(members, percent).join(_read_sets(documents, members, n, id_col, text_col), ["node", "rep"])
-    links = cut(at_units(units.select(*_KEY, "node", "grams", "copies", "side")).mapInArrow(_units(percent), "a bigint, b bigint, degree bigint"), "links")
-    component = connected_components(links)
-    degree = links.groupBy(F.col("b").alias("node")).agg(F.sum("degree").alias("degree"))
-    placed = rep.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    low = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    placed = placed.join(low, "component").join(degree, "node", "left").select("node", "component_id", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = names.select("id", "n_shingles", "node").join(placed, "node", "left")
-    none = F.col("id").isNull() | F.col("node").isNull()
-    return out.select(F.col("id").alias(id_col), "n_shingles", F.when(none, F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.when(none, F.lit(0)).otherwise(F.col("n_links")).cast("bigint").alias("n_links"))
+    out = _classes(documents, n, percent, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("low.rep", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
 
 def keep_one(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of documents with one of each class: the one of the smallest id.
+    """The rows of documents with one of each class: the one of the smallest id, and there of the smallest set's name.
 
-    Rows without id, and rows whose text has no words, stay. Of rows repeated with their id, one stays.
+    Rows without id, and rows whose text has no words, stay. A repeated id is no reason to go: of rows that share an id,
+    each is judged by its own text, and those without a link to one another stay beside each other. Of rows with one id
+    and one set, the one with the smallest digest of all its columns stays.
     """
-    classes = cut(jaccard_classes(documents, n, percent, id_col, text_col), "classes").select(F.col(id_col).alias("id"), "component_id").where("id is not null")
-    counted = cut(classes.groupBy("id").agg(F.max(F.col("id") == F.col("component_id")).alias("stays"), F.count("*").alias("times")), "stay")
+    classes = cut(_classes(documents, n, percent, id_col, text_col), "classes").where("id is not null")
+    stays = (F.col("low.rep") == F.col("id")) & (F.col("low.node") == F.col("node"))
+    counted = classes.groupBy("id").agg(F.bool_or(F.coalesce(stays, F.lit(True))).alias("stays"), F.count("*").alias("times"))
+    counted = cut(counted, "stay")
     # Most rows stay, and an id that is surely not among the others needs no look-up: a filter of bounded size tells, and
     # only the texts that it does not clear are moved. Where it is full it clears none, and all are looked up.
     unsure = counted.where("not stays or times > 1")
@@ -536,12 +554,32 @@ def keep_one(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str =
         at = _filter_hash(hashes.to_numpy(np.int64), len(held.value))
         return pd.Series(np.all(held.value[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1), axis=0))
 
-    rows = documents.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(documents.columns)])
-    key = f"c{documents.columns.index(id_col)}"
-    rows = rows.withColumn("hit", F.col(key).isNotNull() & maybe(F.xxhash64(key)))
-    looked_up = rows.where("hit").join(counted.where("stays").select(F.col("id").alias("stay_id"), "times"), F.col(key) == F.col("stay_id"))
-    if counted.where("stays and times > 1").limit(1).count():
-        looked_up = looked_up.where("times = 1").unionByName(looked_up.where("times > 1").dropDuplicates([key]))
     names = [f"c{i}" for i in range(len(documents.columns))]
-    out = rows.where("not hit").select(*names).unionByName(looked_up.select(*names))
+    rows = documents.select(*[F.col(f"`{c}`").alias(new) for c, new in zip(documents.columns, names, strict=True)])
+    key, text = names[documents.columns.index(id_col)], names[documents.columns.index(text_col)]
+    rows = rows.withColumn("hit", F.col(key).isNotNull() & maybe(F.xxhash64(key)))
+    ids = counted.where("stays").select(F.col("id").alias("stay_id"), "times")
+    looked_up = rows.where("hit").join(ids, F.col(key) == F.col("stay_id"))
+    out = rows.where("not hit").select(*names).unionByName(looked_up.where("times = 1").select(*names))
+    if counted.where("times > 1").limit(1).count():
+        out = out.unionByName(_repeated(looked_up.where("times > 1"), classes.where(stays), names, key, text, n))
     return out.select(*[F.col(c).alias(old) for c, old in zip(names, documents.columns, strict=True)])
+
+
+def _repeated(rows: DataFrame, first: DataFrame, names: list[str], key: str, text: str, n: int) -> DataFrame:
+    """Of rows whose ids are repeated, those without words, and one each of the classes' first (id, set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, text):
+                sets = _sets(batch.rename_columns(["t" if c == text else c for c in batch.schema.names]), n)
+                node = pa.array([node_of(g)[0] if len(g) else None for g in sets], pa.int64())
+                yield pa.record_batch([*batch.columns, node], names=[*batch.schema.names, "node"])
+
+    schema = T.StructType([*rows.select(*names).schema.fields, T.StructField("node", T.LongType())])
+    rows = cut(rows.select(*names).mapInArrow(run, schema).withColumn("digest", F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)), "repeated")
+    chosen = rows.where("node is not null").groupBy(key, "node").agg(F.min("digest").alias("digest"))
+    chosen = chosen.join(first.select(F.col("id").alias(key), "node").distinct(), [key, "node"])
+    # rows alike in all columns are one row for the digest: one of them is taken
+    one = rows.join(chosen, [key, "node", "digest"]).groupBy(key, "node", "digest").agg(*[F.first(c).alias(c) for c in names if c != key])
+    return rows.where("node is null").select(*names).unionByName(one.select(*names))

@@ -1,3 +1,4 @@
+import collections
 import random
 
 import numpy as np
@@ -101,34 +102,80 @@ def test_empty_table(spark):
     assert J.jaccard_classes(df).collect() == []
 
 
-def test_sketches_never_forbid_a_link():
-    rng = random.Random(6)
+def test_sets_that_end_no_cut_send_their_shingles(monkeypatch):
+    monkeypatch.setattr(J, "TURNS", 1)
+    rng = random.Random(8)
+    short = 0
     for percent in (80, 90):
         sizes = J.Sizes(percent)
+        for _ in range(600):
+            m = rng.randrange(1, 40)
+            pool = np.array([rng.getrandbits(64) for _ in range(m + 4)], np.uint64)
+            a, b = np.unique(pool[:m]), np.unique(pool[rng.randrange(0, m // 6 + 1) : m + rng.randrange(0, m // 6 + 1)])
+            inter = len(np.intersect1d(a, b))
+            if inter and 100 * inter >= percent * (len(a) + len(b) - inter):
+                x, y = J.signatures(a, sizes), J.signatures(b, sizes)
+                short += len(x) > len(a)
+                assert np.intersect1d(x, y).size
+    assert short > 50
+
+
+def test_prefixes_never_miss_a_link():
+    rng = random.Random(6)
+    counts = np.array([rng.randrange(9) for _ in range(64)])
+    for percent in (80, 90):
         for _ in range(800):
             m = rng.randrange(1, 200)
             pool = np.array([rng.getrandbits(64) for _ in range(2 * m + 4)], np.uint64)
-            x = np.unique(pool[:m])
-            y = np.unique(np.concatenate([pool[rng.randrange(0, m // 7 + 1) : m], pool[m : m + rng.randrange(0, m // 7 + 2)]]))
-            x, y = sorted((x, y), key=len)
-            inter = len(np.intersect1d(x, y))
-            if 100 * inter < percent * (len(x) + len(y) - inter):
-                continue
-            apart = sizes.of(len(y)) - sizes.of(len(x))
-            assert apart in (0, 1)
-            a, b = J.sketches(x, sizes)[apart], J.sketches(y, sizes)[0]
-            as_sketch = lambda s: np.frombuffer(s, np.uint8).reshape(1, 2, -1)
-            assert J.may_link(as_sketch(a), as_sketch(b), np.array([len(x)]), np.array([len(y)]), percent)[0, 0]
-
-
-def test_sketches_part_sets_that_share_a_passage():
+            a = np.unique(pool[:m])
+            b = np.unique(np.concatenate([pool[rng.randrange(0, m // 7 + 1) : m], pool[m : m + rng.randrange(0, m // 7 + 2)]]))
+            inter = len(np.intersect1d(a, b))
+            if inter and 100 * inter >= percent * (len(a) + len(b) - inter):
+                assert np.intersect1d(J.prefix(a, counts, percent), J.prefix(b, counts, percent)).size
+
+
+def test_overlaps_equal_intersections(monkeypatch):
+    monkeypatch.setattr(J, "COLUMNS", 7)
     rng = np.random.default_rng(3)
-    sizes = J.Sizes(80)
-    passage = rng.integers(0, 2**63, 50, dtype=np.uint64) * np.uint64(2)
-    sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 400, dtype=np.uint64) * np.uint64(2)])) for _ in range(40)]
-    drawn = np.stack([np.frombuffer(J.sketches(s, sizes)[0], np.uint8).reshape(2, -1) for s in sets])
-    n = np.array([len(s) for s in sets])
-    assert J.may_link(drawn, drawn, n, n, 80).sum() == 40
+    sets = [np.unique(rng.choice(np.arange(1, 90, dtype=np.uint64), rng.integers(1, 60))) for _ in range(40)]
+    sets += [np.unique(rng.choice(np.arange(1000, 4000, dtype=np.uint64), 300)) for _ in range(20)]
+    got = J.overlaps(sets)
+    assert all(got[i, k] == len(np.intersect1d(sets[i], sets[k])) for i in range(60) for k in range(60) if i != k)
+
+
+def test_a_large_cluster_with_a_shared_passage(spark, monkeypatch):
+    """5,000 sets that are mostly one passage: rare shingles part them, and no set moves to all blocks."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(150)]
+    texts = []
+    while len(texts) < 5000:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(30)]
+        texts += [" ".join(edited(rng, own, k) + passage) for k in rng.choices((0, 1, 2, 3), k=rng.choice((1, 1, 2, 4)))]
+    texts = texts[:5000]
+    units, large = [], []
+    dealt, parted = J._dealt, J._parted
+    monkeypatch.setattr(J, "_parted", lambda docs, m, *rest: large.append(m.count()) or parted(docs, m, *rest))
+    monkeypatch.setattr(J, "_dealt", lambda m, total, percent: units.append(dealt(m, total, percent)) or units[-1])
+    got = result(spark, list(enumerate(texts)), 3, 90)
+    sets = [shingles(t, 3) for t in texts]
+    common = sorted(shingles(" ".join(passage), 3))
+    held = np.array([[g in s for g in common] for s in sets], np.float32)
+    rest, where = collections.Counter(), collections.defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s.difference(common):
+            for k in where[g]:
+                rest[k, i] += 1
+            where[g].append(i)
+    low, links = list(range(5000)), [0] * 5000
+    pairs = [(k, i) for (k, i), c in sorted(rest.items()) if 100 * (x := c + int(held[k] @ held[i])) >= 90 * (len(sets[k]) + len(sets[i]) - x)]
+    for k, i in pairs:
+        links[k] += 1
+        links[i] += 1
+        a, b = sorted((low[k], low[i]))
+        low = [a if c == b else c for c in low]
+    assert len(pairs) > 500 and len(units) == 1 and large[0] > 4000
+    assert got == {i: (len(sets[i]), low[i], links[i]) for i in range(5000)}
+    assert units[0].count() < 2 * 5000
 
 
 def test_keep_one(spark, edge, nothing, monkeypatch):
@@ -139,4 +186,23 @@ def test_keep_one(spark, edge, nothing, monkeypatch):
     assert sorted(map(tuple, J.keep_one(df).collect()), key=str) == want
     monkeypatch.setattr(J, "FILTER_WORDS", 1)  # a filter that clears nearly none
     assert sorted(map(tuple, J.keep_one(df).collect()), key=str) == want
+    monkeypatch.undo()
     assert J.keep_one(edge).schema == edge.schema and J.keep_one(nothing).collect() == []
+
+
+def test_keep_one_loses_no_text_of_a_repeated_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    keep = lambda rows: sorted(map(tuple, J.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(2)).collect()), key=str)
+    # one id with two texts, and another text
+    assert keep([(5, a, "x"), (5, b, "x"), (6, c, "y")]) == sorted([(5, a, "x"), (5, b, "x"), (6, c, "y")], key=str)
+    # one of the texts is a copy of a smaller id's
+    assert keep([(5, a, "x"), (5, b, "x"), (3, a, "y")]) == sorted([(3, a, "y"), (5, b, "x")], key=str)
+    # near copies under one id, a repeated row, a row without words, a row without id
+    rows = [(5, a, "x"), (5, a + " z", "x"), (5, b, "x"), (5, b, "x"), (5, " ", "x"), (5, None, None), (None, a, "x")]
+    got = keep(rows)
+    assert len(got) == 5 and [g for g in got if g[0] == 5 and g[1] in (a, a + " z")].__len__() == 1
+    assert all(r in got for r in [(5, b, "x"), (5, " ", "x"), (5, None, None), (None, a, "x")])
+    # one id and set in other columns: always the same of them
+    rows = [(1, a, "x"), (1, a.upper(), "y"), (1, a, None), (1, a, "x")]
+    one = keep(rows)
+    assert len(one) == 1 and one == keep(rows[::-1])
