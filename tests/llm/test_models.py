@@ -191,37 +191,97 @@ def test_scoring_edges(edge, nothing):
 # -- nearest neighbours
 
 
-def test_recall_and_exact_scores(spark):
-    rng = np.random.default_rng(3)
-    x = rng.standard_normal((1500, 32)) * rng.uniform(0.5, 2, (1500, 1))
-    x[700:720] = x[40]
-    df = spark.createDataFrame([(i, [float(np.float32(v)) for v in r]) for i, r in enumerate(x)], "vec_id bigint, embedding array<float>").repartition(4)
-    x = x.astype(np.float32).astype(float)
+def nearest(ids, x, q, k):
+    """(ids, scores) of the k nearest of row q among rows of other ids, by brute force; shorter vectors are zero beyond."""
+    s = np.einsum("ij,j->i", x, x[q])
+    own = ids == ids[q]
+    order = [i for i in np.lexsort((ids, -s)) if not own[i]][:k]
+    return ids[order], s[order]
+
+
+def searched(spark, ids, x, **options):
+    df = spark.createDataFrame([(int(i), [float(np.float32(v)) for v in r]) for i, r in zip(ids, x, strict=True)], "vec_id bigint, embedding array<float>").repartition(4)
     got = collections.defaultdict(list)
-    for r in A.search(df, F.col("vec_id") % 20 == 0, k=10, shard_rows=400).orderBy("query_id", "rank").collect():
+    for r in A.search(df, F.col("vec_id") % 20 == 0, **options).orderBy("query_id", "rank").collect():
         got[r.query_id].append(r)
-    hit = 0
-    for q in range(0, 1500, 20):
-        s = np.einsum("ij,j->i", x, x[q])
-        s[q] = -np.inf
-        best = np.lexsort((np.arange(1500), -s))[:10]
-        rows = got[q]
-        assert [r["rank"] for r in rows] == list(range(1, 11))
+    return got
+
+
+def recall(got, ids, x, k):
+    x = x.astype(np.float32).astype(float)
+    hit = total = 0
+    for q in np.flatnonzero(ids % 20 == 0):
+        best, _ = nearest(ids, x, q, k)
+        rows = got[ids[q]]
+        assert [r["rank"] for r in rows] == list(range(1, k + 1))
         assert [(-r.score, r.vec_id) for r in rows] == sorted((-r.score, r.vec_id) for r in rows)
-        assert all(abs(r.score - s[r.vec_id]) < 1e-12 for r in rows)
+        true = dict(zip(ids.tolist(), np.einsum("ij,j->i", x, x[q]).tolist(), strict=True))
+        assert all(abs(r.score - true[r.vec_id]) < 1e-12 and r.vec_id != ids[q] for r in rows)
         hit += len({r.vec_id for r in rows} & set(best.tolist()))
-    assert hit / 750 >= 0.9
+        total += k
+    return hit / total
+
+
+def test_recall_and_exact_scores(spark, monkeypatch):
+    """Several ranges and blocks, beginnings of one symbol and of two, vectors of several lengths, equal vectors."""
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((3000, 32)) * rng.uniform(0.5, 2, (3000, 1))
+    x[700:760] = x[40]
+    ids = np.arange(3000)
+    monkeypatch.setattr(A, "PART_STRINGS", 20_000)
+    monkeypatch.setattr(A, "BLOCK_BYTES", 100_000)
+    seen = []
+    candidates = A._candidates
+    monkeypatch.setattr(A, "_candidates", lambda *a: seen.append((a[2].first, candidates(*a))) or seen[-1][1])
+    assert recall(searched(spark, ids, x, k=10), ids, x, 10) >= 0.9
+    assert recall(searched(spark, ids, x, k=10, probes=(50, 100), spread=30.0), ids, x, 10) >= 0.9
+    assert [first for first, _ in seen] == [2, 1]
+    for _, found in seen:  # the index leaves most rows alone
+        assert found.select("q", F.explode("rows")).distinct().count() / 150 < 0.5 * 3000
+
+
+def test_a_dense_cluster_is_searched_by_long_prefixes(spark, monkeypatch):
+    """A third of all rows lie close around one point."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 24))
+    x[::3] = x[0] + 0.15 * rng.standard_normal((1000, 24))
+    ids = np.arange(3000)
+    monkeypatch.setattr(A, "PART_STRINGS", 20_000)
+    assert recall(searched(spark, ids, x, k=5, probes=(1024, 40_000)), ids, x, 5) >= 0.9
+
+
+def test_descent_finds_the_longest_prefix_and_ascends():
+    strings = A.Strings(8, 1.0, 2)
+    strings.enough = 3
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((4000, 8))
+    x /= 1.01 * np.linalg.norm(x, axis=1)[:, None]
+    keys = np.sort(strings.keys(x).ravel())
+    asked = strings.keys(x[:50]).ravel()
+    for k, lo, hi in zip(asked.tolist(), *(m.tolist() for m in A.matches(strings, keys, asked)), strict=True):
+        for length in range(strings.symbols, strings.first - 1, -1):
+            same = np.flatnonzero(keys >> (56 - strings.bits * length) == k >> (56 - strings.bits * length))
+            if len(same) >= 3 or length == strings.first:
+                assert (lo, hi) == (same[0], same[-1] + 1)
+                break
 
 
 def test_unusable_vectors_take_no_part(spark):
     nan, inf = float("nan"), float("inf")
-    rows = [(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 1), (6, [None, 1.0], 1), (None, [1.0, 1.0], 1), (7, [1.0], 1), (20, [1.0, 0.0], 1), (20, [1.0, 0.0], 1), (8, [], 1)]
+    rows = [(0, [1.0, 0.0], 1), (1, [0.5, 0.5], 1), (2, None, 1), (3, [0.0, 0.0], 1), (4, [nan, 1.0], 1), (5, [inf, 1.0], 1), (6, [None, 1.0], 1), (None, [1.0, 1.0], 1), (7, [0.25], 1), (20, [1.0, 0.0], 1), (20, [1.0, 0.0], 1), (8, [], 1)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, rank int")
     got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in A.search(df, F.col("vec_id") % 20 == 0, k=5).collect()}
-    assert got == {(0, 1): (20, 1.0), (0, 2): (1, 0.5), (20, 1): (0, 1.0), (20, 2): (1, 0.5)}
+    # a shorter vector is zero beyond its end
+    assert got == {(0, 1): (20, 1.0), (0, 2): (1, 0.5), (0, 3): (7, 0.25), (20, 1): (0, 1.0), (20, 2): (1, 0.5), (20, 3): (7, 0.25)}
     assert A.search(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_rows_that_share_an_id_are_candidates_each(spark):
+    rows = [(20, [1.0, 0.0]), (5, [0.5, 0.0]), (5, [0.75, 0.0]), (5, [0.75, 0.0]), (6, [0.1, 0.0]), (20, [9.0, 0.0])]
+    got = A.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") % 20 == 0, k=5).orderBy("rank").collect()
+    assert [tuple(r) for r in got] == [(20, 1, 5, 0.75), (20, 2, 5, 0.5), (20, 3, 6, 0.1)]
+
+
 # -- secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
