@@ -23,7 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.core.workspace import cut, drop, new_path
@@ -31,19 +31,15 @@ from corpusloom.llm.batches import slices, texts
 from corpusloom.llm.words import WordHashes
 
 ORDER = 5
-#: Cells (states by columns) of a bounded trie's tables, 8 bytes each. score_texts has no such tables, and no bound.
-CELLS = 1 << 24
 #: Context symbols before the last one by which strings are dealt into shards; strings in a shard, about.
 SHARED, SHARD_GRAMS = 2, 1 << 17
 #: The end of a text; contexts before its start are ends, too.
 END = 256
 _BITS = 9
 #: Bytes of text in a block, about: what it asks for grows less than its text.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 #: Bytes of text whose symbols are worked on together: each takes some 60 bytes meanwhile.
-STEP_BYTES = 1 << 20
-#: States whose rows are made together.
-STEP_STATES = 4096
+STEP_BYTES = 1 << 19
 
 
 def symbols(raws: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
@@ -77,8 +73,8 @@ def grams(stream: np.ndarray, first: np.ndarray, order: int = ORDER) -> tuple[np
 class Level(NamedTuple):
     """Strings of a context and a symbol after it, for contexts of one length.
 
-    weight: the string's kept count less a half, 0 where not kept; kept and escape: the weights of all symbols after its
-    context, and what is left for others. after: log10 of the symbol once the context is escaped from, its kept symbols
+    weight: the string's count less a half, 0 where not seen; kept and escape: the weights of all symbols after its
+    context, and what is left for others. after: log10 of the symbol once the context is escaped from, its own symbols
     excluded; log10: of the symbol after the context.
     """
 
@@ -90,19 +86,19 @@ class Level(NamedTuple):
     log10: np.ndarray
 
 
-def level(gram: np.ndarray, n: np.ndarray, length: int, below: Level | None, least: int = 1) -> Level:
+def level(gram: np.ndarray, n: np.ndarray, length: int, below: Level | None) -> Level:
     """The level of contexts of a length; ``below`` is that of the next shorter ones, with all their strings.
 
     gram and n have every string that shares a context of this length, also those only asked for, which count 0.
     """
     key, at = np.unique(gram & ((1 << _BITS * (length + 1)) - 1), return_inverse=True)
     count = np.bincount(at, n, len(key))
-    weight = np.where(count >= least, count - 0.5, 0.0)
+    weight = np.where(count > 0, count - 0.5, 0.0)
     ctx = np.unique(key >> _BITS, return_inverse=True)[1]
     kept = np.bincount(ctx, weight)[ctx]
     escape = np.maximum(np.bincount(ctx, count)[ctx] - kept, 1e-300)
     if below is None:
-        others = END + 1 - int((weight > 0).sum())  # symbols not kept anywhere
+        others = END + 1 - int((weight > 0).sum())  # symbols not seen anywhere
         after = np.full(len(key), -np.log10(max(others, 1)))
         if not others:
             escape[:] = 1e-300
@@ -114,11 +110,11 @@ def level(gram: np.ndarray, n: np.ndarray, length: int, below: Level | None, lea
             after = np.where(below.weight[up] > 0, np.log10(below.weight[up]), np.log10(below.escape[up]) + below.after[up]) - rest
     with np.errstate(divide="ignore"):
         log10 = np.where(weight > 0, np.log10(weight), np.log10(escape) + after) - np.log10(kept + escape)
-    # a context without kept symbols is none: its suffix stands for it
+    # a context without symbols is none: its suffix stands for it
     return Level(key, weight, kept, escape, after, log10 if below is None else np.where(kept > 0, log10, below.log10[up]))
 
 
-def gram_scores(counts: DataFrame, order: int = ORDER, least: int = 1) -> DataFrame:
+def gram_scores(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(gram, log10) for each row (gram, n): its last symbol's log10 probability after the others. A gram has one row."""
     shared = min(SHARED, order)
     mask = F.lit((1 << _BITS * shared) - 1)
@@ -127,7 +123,7 @@ def gram_scores(counts: DataFrame, order: int = ORDER, least: int = 1) -> DataFr
         # at most 257 x 257 rows: strings of two symbols
         short = counts.groupBy(F.col("gram").bitwiseAND(mask).alias("gram")).agg(F.sum("n").alias("n")).toPandas()
         for k in range(shared):
-            low = level(short["gram"].to_numpy(np.int64), short["n"].to_numpy(np.int64), k, low, least)
+            low = level(short["gram"].to_numpy(np.int64), short["n"].to_numpy(np.int64), k, low)
     held = counts.sparkSession.sparkContext.broadcast(low)
     shards = max(1, -(-counts.count() // SHARD_GRAMS))
 
@@ -135,138 +131,20 @@ def gram_scores(counts: DataFrame, order: int = ORDER, least: int = 1) -> DataFr
         gram, n = table.column("gram").to_numpy(), table.column("n").to_numpy()
         now = held.value
         for k in range(shared, order + 1):
-            now = level(gram, n, k, now, least)
+            now = level(gram, n, k, now)
         return pa.table([now.key, now.log10.astype(np.float32)], names=["gram", "log10"])
 
     dealt = counts.withColumn("shard", F.pmod(F.xxhash64(F.shiftright("gram", _BITS).bitwiseAND(mask)), F.lit(shards)))
     return dealt.groupBy("shard").applyInArrow(score, "gram bigint, log10 float")
 
 
-class Trie:
-    """The kept strings of each length 1..order + 1: levels[k] has (sorted keys, counts) of strings of k + 1 symbols."""
-
-    def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]], total: int):
-        self.levels, self.total = levels, total
-
-    def cells(self) -> int:
-        return (1 + sum(len(np.unique(k >> _BITS)) for k, _ in self.levels[1:])) * (len(self.levels[0][0]) + 1)
-
-    def bounded(self) -> Trie:
-        """The strings seen often enough for tables of at most CELLS cells: the bound doubles until they fit."""
-        out = self
-        least = min((int(n.min()) for _, n in self.levels if len(n)), default=1)
-        while out.cells() > CELLS:
-            least *= 2
-            out = Trie([(k[n >= least], n[n >= least]) for k, n in self.levels], self.total)
-        return out
-
-
-class Automaton:
-    """One trie's model as tables over states (contexts) and columns (kept symbols, and one for all others).
-
-    columns: the column of each symbol; next_state and log10: [state, column].
-    """
-
-    def __init__(self, trie: Trie, order: int = ORDER):
-        alphabet = trie.levels[0][0]
-        width = len(alphabet) + 1
-        self.columns = np.full(END + 1, width - 1, np.int16)
-        self.columns[alphabet] = np.arange(width - 1)
-        # states: the empty context, then the kept contexts that have kept symbols after them, by length
-        parents = [np.unique(trie.levels[k][0] >> _BITS) for k in range(1, order + 1)]
-        contexts = [np.zeros(1, np.int64), *parents]
-        starts = np.cumsum([0, *map(len, contexts)])
-        count = int(starts[-1])
-
-        def state_of(length: int, keys: np.ndarray) -> np.ndarray:
-            """State of each context of a length, or -1."""
-            have = contexts[length] if length < len(contexts) else np.empty(0, np.int64)
-            if not len(have):
-                return np.full(len(keys), -1, np.int64)
-            at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-            return np.where(have[at] == keys, starts[length] + at, -1)
-
-        self.next_state = np.zeros((count, width), np.int32)
-        self.log10 = np.zeros((count, width), np.float32)
-        # log10 of each symbol after an escape from the state, its own symbols excluded
-        after = np.zeros((count, width), np.float32)
-        others = END + 1 - len(alphabet)  # symbols below the bound everywhere
-        last_weight, last_escape = None, None  # of the length before: kept counts less a half [context, column], and the rest
-        for length, have in enumerate(contexts):
-            if not len(have):
-                break
-            keys, n = trie.levels[length]
-            row = np.searchsorted(have, keys >> _BITS) if length else np.zeros(len(keys), np.int64)
-            weight = np.zeros((len(have), width), np.float64)
-            weight[row, self.columns[keys & ((1 << _BITS) - 1)]] = n - 0.5
-            total = self._totals(trie, length, have)
-            escape = np.maximum(total - weight.sum(axis=1), 1e-300)
-            if length == 0 and not others:
-                escape[:] = 1e-300
-            suffix = state_of(length - 1, have & ((1 << _BITS * (length - 1)) - 1)) - starts[length - 1] if length else np.zeros(1, np.int64)
-            for lo in range(0, len(have), STEP_STATES):
-                part = slice(lo, lo + STEP_STATES)
-                w, esc, up_at = weight[part], escape[part], suffix[part]
-                if length == 0:
-                    low = np.zeros((1, width))
-                    low[0, -1] = -np.log10(max(others, 1))
-                    step = np.zeros((1, width), np.int64)
-                else:
-                    up, up_escape = last_weight[up_at], last_escape[up_at]
-                    left = np.where(w > 0, 0, up)
-                    rest = np.log10(left.sum(axis=1) + up_escape)[:, None]
-                    with np.errstate(divide="ignore"):
-                        low = np.where(up > 0, np.log10(left) - rest, np.log10(up_escape)[:, None] - rest + after[starts[length - 1] + up_at])
-                    step = self.next_state[starts[length - 1] + up_at].astype(np.int64)
-                all_ = np.log10(w.sum(axis=1) + esc)[:, None]
-                at = slice(starts[length] + lo, starts[length] + lo + len(w))
-                after[at] = np.where(np.isfinite(low), low, 0)
-                with np.errstate(divide="ignore"):
-                    self.log10[at] = np.where(w > 0, np.log10(w) - all_, np.log10(esc)[:, None] - all_ + after[at])
-                # the next context: this one and the symbol if that is a state, else what the suffix leads to
-                if length < order:
-                    grown = (have[part, None] << _BITS) | alphabet[None, :]
-                    to = state_of(length + 1, grown.ravel()).reshape(grown.shape)
-                    step[:, :-1] = np.where(to >= 0, to, step[:, :-1])
-                self.next_state[at] = step
-            last_weight, last_escape = weight, escape
-        del after
-        self.next_state *= width  # rows of the flattened tables
-        self.next_state, self.log10, self.width, self.order = self.next_state.ravel(), self.log10.ravel(), width, order
-
-    @staticmethod
-    def _totals(trie: Trie, length: int, contexts: np.ndarray) -> np.ndarray:
-        """How often something follows each context: as often as it is seen, and at a text's start once a text."""
-        if not length:
-            return np.array([trie.total])
-        keys, n = trie.levels[length - 1]
-        ends = trie.levels[0][1][trie.levels[0][0] == END].sum()
-        at = np.minimum(np.searchsorted(keys, contexts), len(keys) - 1)
-        return np.where((contexts & ((1 << _BITS) - 1)) == END, ends, n[at])
-
-    def score(self, raws: list[bytes], lanes: int = 8192) -> np.ndarray:
-        """log10 probability of each text."""
-        if not raws:
-            return np.empty(0)
-        stream, first = symbols(raws, self.order)
-        col = self.columns[stream].astype(np.int32)
-        n = len(col)
-        lanes = max(1, min(lanes, n // (8 * self.order) + 1))
-        long = -(-n // lanes)
-        lanes = -(-n // long)
-        padded = np.full(lanes * long + self.order, col[0] if n else 0, np.int32)
-        padded[self.order : self.order + n] = col
-        got = np.zeros((long, lanes), np.float32)
-        start = np.arange(lanes) * long
-        state = np.zeros(lanes, np.int32)
-        for t in range(-self.order, long):
-            at = state + padded[start + (t + self.order)]
-            if t >= 0:
-                got[t] = self.log10[at]
-            state = self.next_state[at]
-        flat = got.T.ravel()[:n].astype(np.float64)
-        # each text is summed by itself, so that its score does not depend on its neighbours
-        return np.array([flat[a:b].sum() for a, b in zip(first, [*(first[1:] - self.order), n], strict=True)])
+def block_names(spark: SparkSession, blocks: int) -> DataFrame:
+    """(nth, blk): a name for each block, so that dealing blocks by hash of their names gives each task one of them."""
+    at = F.pmod(F.hash("blk"), F.lit(blocks))
+    tried = spark.range(16 * blocks).select(F.col("id").cast("int").alias("blk")).groupBy(at.alias("nth")).agg(F.min("blk").alias("blk"))
+    # a block for which none is found has one beyond those tried, wherever it lies
+    every = spark.range(blocks).select(F.col("id").cast("int").alias("nth"))
+    return every.join(tried, "nth", "left").select("nth", F.coalesce("blk", F.lit(16 * blocks) + F.col("nth")).alias("blk"))
 
 
 def _words(raw: bytes) -> list[bytes]:
@@ -290,13 +168,16 @@ def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return key, np.bincount(at, np.concatenate([n for _, n in parts]), len(key)).astype(np.int64)
 
 
-def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, order: int = ORDER, nodes: int | None = None) -> DataFrame:
+def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: Column | None = None, order: int = ORDER) -> DataFrame:
     """One row per document: (<id_col>, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
-    Learns from the documents for which held_out is false. Null texts are empty: one end token. A null held_out counts
-    as false. Ids, null or repeated ones too, are carried along row by row; other columns are not read. Where nothing
+    Learns from the documents for which held_out is false. score is the model's log10 probability of the text's words,
+    A-Z lower-cased, with a blank between neighbours, and of its end: what the base scores, too. Null and empty texts are
+    one end token. A null held_out counts as false. Ids, null or repeated ones too, are carried along row by row, and equal
+    texts have equal scores; other columns are not read. Texts are read whole, however long. An empty table gives an
+    empty result. Where nothing
     is left to learn from, base_score is 0 tokens' worth of smoothing: log10(0.5 / 0.5) = 0 a token, and score that of
-    symbols all alike. With ``nodes``, only contexts seen at least total / nodes times are kept, at most nodes of a length.
+    symbols all alike.
     """
     spark = documents.sparkSession
     out = F.coalesce(held_out if held_out is not None else F.lit(False), F.lit(False))
@@ -305,8 +186,8 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     blocks = max(1, -(-size // BLOCK_BYTES))
 
     # blocks by hash of id and text; a row's length evens out over them
-    dealt = docs.withColumn("blk", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int"))
-    dealt = dealt.repartition(int(blocks * 2), "blk")
+    dealt = docs.withColumn("nth", F.pmod(F.xxhash64("i", "t"), F.lit(blocks)).cast("int"))
+    dealt = dealt.join(F.broadcast(block_names(spark, blocks)), "nth").select("i", "t", "h", "blk").repartition(blocks, "blk")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, bool], list] = {}
@@ -314,7 +195,7 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
         def add(block: int, word: bool, key: np.ndarray, n: np.ndarray) -> None:
             parts = held.setdefault((block, word), [])
             parts.append(_summed([(key, n)]))
-            if sum(len(k) for k, _ in parts[1:]) > 1_000_000:
+            if sum(len(k) for k, _ in parts[1:]) > max(250_000, len(parts[0][0]) // 2):
                 parts[:] = [_summed(parts)]
 
         for whole in batches:
@@ -348,8 +229,7 @@ def score_texts(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     strings = asked.where("not word").select("blk", F.col("key").alias("gram"), "n")
     counts = cut(strings.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    least = max(1, -(-(counts.agg(F.sum("n")).first()[0] or 0) // nodes)) if nodes else 1
-    codes = cut(strings.select("blk", "gram").join(gram_scores(counts, order, least), "gram"), "codes")
+    codes = cut(strings.select("blk", "gram").join(gram_scores(counts, order), "gram"), "codes")
     drop(spark, at)
     answers = words.select("blk", F.lit(True).alias("word"), "key", F.col("c").cast("double").alias("value"))
     answers = answers.unionAll(codes.select("blk", F.lit(False), "gram", F.col("log10").cast("double")))

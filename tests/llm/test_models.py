@@ -109,15 +109,13 @@ def texts_for_ppm(n):
     return [" ".join("".join(rng.choices(["ab", "ra", "ca", "é", "Z"], k=rng.randrange(1, 5))) for _ in range(rng.randrange(12))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("nodes", [1 << 20, 60])
-def test_scores_equal_the_definition(spark, nodes):
+def test_scores_equal_the_definition(spark):
     texts = texts_for_ppm(80)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(3)
-    rows = P.score_texts(df, held_out=F.col("doc_id") % 5 == 1, order=3, nodes=nodes).collect()
+    rows = P.score_texts(df, held_out=F.col("doc_id") % 5 == 1, order=3).collect()
     flat = [b" ".join(t.encode().lower().split()) for t in texts]
     learn = [t for i, t in enumerate(flat) if i % 5 != 1]
-    total = sum(len(t) + 1 for t in learn)
-    slow = SlowPPM(learn, 3, max(1, -(-total // nodes)))
+    slow = SlowPPM(learn, 3, 1)
     words = collections.Counter(w for t in learn for w in t.split())
     n, v = sum(words.values()) + len(learn), len(words) + 1
     assert len(rows) == 80
@@ -142,32 +140,30 @@ def test_rare_contexts_keep_their_counts_in_a_large_corpus(spark):
         assert abs(rows[8 + i] - slow.log10(t.encode())) < 1e-4 * -rows[8 + i]
 
 
-def test_symbols_sum_to_one_and_lanes_do_not_matter():
-    raws = [t.encode() for t in texts_for_ppm(60)]
-    keys, counts = P.grams(*P.symbols(raws, 3), 3)
-    levels = []
-    for k in range(4):
-        short, at = np.unique(keys & ((1 << 9 * (k + 1)) - 1), return_inverse=True)
-        levels.append((short, np.bincount(at, counts).astype(np.int64)))
-    model = P.Automaton(P.Trie(levels, int(counts.sum())), 3)
-    table = 10.0 ** model.log10.reshape(-1, model.width).astype(float)
-    many = np.ones(model.width)
-    many[-1] = 257 - (model.width - 1)
-    assert np.allclose(table @ many, 1, atol=1e-5)
-    one = model.score(raws, lanes=1)
-    assert np.array_equal(one, model.score(raws, lanes=7)) and np.array_equal(one, np.array([model.score([r])[0] for r in raws]))
-
-
-def test_the_trie_is_bounded(monkeypatch):
-    keys = np.arange(1, 400)
-    monkeypatch.setattr(P, "CELLS", 500)
-    small = P.Trie([(keys % 250, np.arange(1, 400)), (keys << 9 | keys % 250, np.arange(1, 400))], 10**5).bounded()
-    assert 0 < small.cells() <= 500
-
-
-def test_no_context_is_dropped_for_memory(spark, monkeypatch):
-    """Texts of many distinct bytes, whose dense tables would not fit."""
-    monkeypatch.setattr(P, "CELLS", 5000)
+def test_probabilities_of_all_symbols_sum_to_one():
+    """Of every symbol after every context of each length, seen or not."""
+    key, n = P.grams(*P.symbols([t.encode() for t in texts_for_ppm(60)], 2), 2)
+    contexts = np.unique(key >> 9)[:40]
+    asked = ((contexts << 9)[:, None] | np.arange(257)).ravel()
+    # every shorter context of these has all its strings, too
+    every = np.unique(np.concatenate([key, asked]))
+    count = np.zeros(len(every))
+    count[np.searchsorted(every, key)] = n
+    now = None
+    for length in range(3):
+        now = P.level(every, count, length, now)
+    p = 10.0 ** now.log10[np.searchsorted(now.key, asked)].reshape(len(contexts), 257)
+    assert np.allclose(p.sum(axis=1), 1, atol=1e-9) and (p > 0).all()
+
+
+def test_blocks_are_dealt_one_to_a_task(spark):
+    for blocks in (1, 7, 40):
+        rows = P.block_names(spark, blocks)
+        parts = rows.select("nth", F.pmod(F.hash("blk"), F.lit(blocks)).alias("part")).collect()
+        assert sorted(r.nth for r in parts) == list(range(blocks)) and len({r.part for r in parts}) > 0.99 * blocks
+
+
+def test_texts_of_many_distinct_bytes(spark):
     rng = random.Random(6)
     texts = [" ".join("".join(chr(rng.choice([rng.randrange(33, 127), rng.randrange(192, 2000)])) for _ in range(5)) for _ in range(12)) for _ in range(40)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
