@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,6 +37,18 @@ def cut(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut_stage(spark: SparkSession, build: Callable[[], DataFrame], label: str, spent: str | None = None) -> tuple[DataFrame, str]:
+    """(what build makes, written and read back; its path). Tables that build wrote on the way are dropped, and ``spent``,
+    the path of its input, too."""
+    mark = len(_written)
+    out = cut(build(), label)
+    *way, (_, path) = _written[mark:]
+    for _, old in [*way, *([(spark, spent)] if spent else [])]:
+        drop(spark, old)
+    _written[:] = [w for w in _written[:mark] if w[1] != spent] + [(spark, path)]
+    return out, path
+
+
 def filesystem(spark: SparkSession, path: str):
     """(Hadoop file system, Hadoop path) of path."""
     jvm = spark.sparkContext._jvm
