@@ -172,5 +172,11 @@ def predict(documents: DataFrame, prototypes: dict[str, np.ndarray], id_col: str
 
 
 def identify(documents: DataFrame, learn_where: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", more: dict[str, Column] | None = None) -> DataFrame:
-    """Learn from the documents of learn_where, and predict all."""
+    """Learn from the documents of learn_where, and predict all: (<id_col>, *more, lang_pred, score), one row per document.
+
+    A language is any non-null value of lang_col; rows without one teach nothing, and null learn_where counts as false. No
+    prediction reads lang_col. Texts are read whole, however long; null and empty ones, and those without a letter, are
+    ``und`` with 0. Ties go to the first language by name; equal texts, repeated rows too, are answered alike. Other
+    columns are not read. An empty table gives an empty result. More than MOST_LANGUAGES languages are an error.
+    """
     return predict(documents, train(documents.where(learn_where), text_col, lang_col), id_col, text_col, more)

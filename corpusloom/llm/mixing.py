@@ -24,7 +24,7 @@ from corpusloom.core.workspace import cut
 GRID = 17
 PASSES = 9
 #: Weights are whole millionths: everything after them is integer arithmetic.
-PARTS = 1_000_000
+PARTS = 1_000_000_000_000
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -168,8 +168,9 @@ def mix_sources(
     spread = rows.select(F.col("id").alias("ri"), F.col("source").alias("rs"), F.col("digest").alias("rd"), "rows")
     counts = counts.join(spread, F.col("id").eqNullSafe(F.col("ri")) & F.col("source").eqNullSafe(F.col("rs")) & F.col("digest").eqNullSafe(F.col("rd"))).select("id", "source", "digest", "uses", "rows")
     back = held.join(counts, F.col(at[id_col]).eqNullSafe(F.col("id")) & F.col(at[source_col]).eqNullSafe(F.col("source")) & F.md5(F.col(at[text_col])).eqNullSafe(F.col("digest")))
-    # of rows that are the same, each takes its part of the uses
-    nth = F.when(F.col("rows") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy("id", "source", "digest").orderBy(F.lit(1))))
+    # of rows alike in id, source and text, each takes its part of the uses, in the order of a digest of all columns
+    digest = F.sha2(F.to_json(F.struct(*at.values()), {"ignoreNullFields": "false"}), 256)
+    nth = F.when(F.col("rows") == 1, F.lit(1)).otherwise(F.row_number().over(Window.partitionBy("id", "source", "digest").orderBy(digest)))
     back = back.withColumn("nth", nth) if rows.where("rows > 1").limit(1).count() else back.withColumn("nth", F.lit(1))
     each = F.floor(F.col("uses") / F.col("rows")) + F.when(F.col("nth") <= F.col("uses") % F.col("rows"), 1).otherwise(0)
     back = back.withColumn("each", each).where("each > 0").withColumn("use", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("each"))))

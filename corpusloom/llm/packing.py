@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from corpusloom.core.workspace import cut
 from corpusloom.llm.batches import map_batches, texts
 from corpusloom.llm.prefix_counts import byte_letters
+from corpusloom.llm.words import LONGEST
 
 #: Pieces of one length and bin that are numbered together, about.
 BIN_ROWS = 50_000
@@ -206,7 +207,7 @@ class RunIds(dict):
         self.library, self.most = Tokenizer.from_file(path), most
         self.library.no_truncation()
         self.library.no_padding()
-        self.letter = None
+        self.letter, self.long = None, []
         spec = json.load(open(path, encoding="utf-8"))
         if spec["model"].get("end_of_word_suffix") and '[\\p{L}]+' in json.dumps(spec["pre_tokenizer"], ensure_ascii=False).replace("\\\\", "\\"):
             self.letter = {b: c for c, b in byte_letters().items()}
@@ -228,6 +229,8 @@ class RunIds(dict):
                 if marks:
                     odd.add(marks)
                     split.append((r, word, marks))
+        self.long = [r for r in new if len(r) > LONGEST]
+        self.long += [w for w in words if len(w) > LONGEST]
         self._encode([r for r in odd if r not in self])
         model, letter = self.library.model, self.letter
         lower: dict[bytes, bytes] = {}
@@ -241,6 +244,11 @@ class RunIds(dict):
         for r, word, marks in split:
             self[r] = self[word] + self[marks]
 
+    def forget(self) -> None:
+        """Drops the long runs of the last fill."""
+        for r in self.long:
+            self.pop(r, None)
+
     def _encode(self, runs: list[bytes]) -> None:
         for i in range(0, len(runs), 4096):
             part = runs[i : i + 4096]
@@ -274,6 +282,7 @@ def tokenised_pieces(documents: DataFrame, vocabulary: str, size: int, end_id: i
                 start.append(at // 4)
                 length.append(len(part) // 4)
                 crc.append(zlib.crc32(part))
+        known.forget()
         return pa.record_batch([batch.column("i").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]], names=["id", "piece", "start", "length", "ids_crc32"])
 
     kind = documents.schema[id_col].dataType.simpleString()
@@ -284,7 +293,7 @@ def pack_documents(documents: DataFrame, vocabulary: str, size: int = 2048, end_
     """One row per piece: (<id_col>, piece, start, length, ids_crc32, sequence_id, offset).
 
     Null texts count as empty: their only id is end_id. Rows repeated with their id, and rows without id, are packed
-    each for itself. Sequences hold at most ``size`` ids, gapless from offset 0. Other columns are not read. An empty
+    each for itself. Texts are read whole and only those of more than ``size`` ids are cut. Sequences hold at most ``size`` ids, gapless from offset 0. Other columns are not read. An empty
     table gives an empty result.
     """
     spark = documents.sparkSession

@@ -6,20 +6,27 @@ stable after the last token of the shorter prefix: no merge across their border
 for every prefix its last token and its count; the word's end (tokens with the end-of-word mark) is one more lookup into
 it. A truncation or budget question is then a search in a table of counts, and nothing is encoded again.
 
-Distinct words of a batch go through the recurrence side by side in numpy; long words one by one.
+Distinct words of a batch go through the recurrence side by side in numpy; long words one by one. No token reaches over
+white space, so a text's table of prefixes is kept as the counts at the ends of its runs, and within a run as those of
+its bytes: prefix_store() gives the first, and truncations look the second up in the one run where the budget ends.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import map_batches, texts
+from corpusloom.llm.words import LONGEST
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _NONE = np.int32(-1)
@@ -117,6 +124,7 @@ class PrefixCounter:
         if missing:
             raise ValueError(f"not in the vocabulary: {missing[:3]}")
         self.left, self.right = np.array(left, np.int32), np.array(right, np.int32)
+        self.lefts, self.rights = left, right
         self.merged = _Lookup(np.array(pairs, np.uint64), np.array(made, np.int32))
         self.merged_at = dict(zip(pairs, made, strict=True))
         inner: dict[bytes, int] = {}
@@ -126,9 +134,12 @@ class PrefixCounter:
             raw = bytes(of[c] for c in (n[: -len(self.end)] if ends else n))
             (final if ends else inner)[raw] = i
         self.inner, self.final = inner, final
-        self.most = max(map(len, [*inner, *final]))
         as_table = lambda d: _Lookup(np.array([_poly(k) for k in d], np.uint64), np.array(list(d.values()), np.int32))
         self.inner_table, self.final_table = as_table(inner), as_table(final)
+        self.finder = ahocorasick.Automaton()
+        for raw, i in inner.items():
+            self.finder.add_word(raw.decode("latin-1"), (i, len(raw)))
+        self.finder.make_automaton()
         self.inner_lengths = sorted({len(k) for k in inner}, reverse=True)
         self.final_lengths = sorted({len(k) for k in final}, reverse=True)
 
@@ -161,31 +172,71 @@ class PrefixCounter:
         return ok
 
     def valid_one(self, a: int, b: int) -> bool:
+        """valid() for one pair."""
         key = a << 20 | b
         if (v := self._valid_seen.get(key)) is None:
             if len(self._valid_seen) > 500_000:
                 self._valid_seen.clear()
-            v = self._valid_seen[key] = bool(self.valid(np.array([a], np.int32), np.array([b], np.int32))[0])
+            v = self._valid_seen[key] = self._valid_pair(a, b)
         return v
 
+    def _valid_pair(self, a: int, b: int) -> bool:
+        limit, merged, left, right = 1 << 30, self.merged_at, self.lefts, self.rights
+        while True:
+            if merged.get(a << 20 | b, limit) < limit:
+                return False
+            la, lb = right[a], left[b]
+            split_a, split_b = la != a, lb != b
+            if split_a and (a > b or not split_b):
+                limit, a = a, la
+            elif split_b:
+                limit, b = b + 1, lb
+            else:
+                return True
+
     # -- the recurrence
 
-    def long_word(self, raw: bytes, every: bool) -> tuple[list[int], int]:
-        """(counts at every prefix with its last byte at the word's end, or [] if not every; count of the word)."""
+    def long_word(self, raw: bytes, every: bool) -> tuple[array, int]:
+        """(counts at every prefix with its last byte at the word's end, or none if not every; count of the word)."""
         n = len(raw)
-        last, count, out = [0] * (n + 1), [0] * (n + 1), []
-
-        def best(i: int, tokens: dict[bytes, int], lengths: list[int]) -> tuple[int, int]:
-            for k in lengths:
-                if k <= i and (t := tokens.get(raw[i - k : i])) is not None and (k == i or self.valid_one(last[i - k], t)):
-                    return t, count[i - k] + 1
-            raise AssertionError("single bytes always fit")
-
-        for i in range(1, n + 1):
-            last[i], count[i] = best(i, self.inner, self.inner_lengths)
-            if every:
-                out.append(best(i, self.final, self.final_lengths)[1])
-        return out, out[-1] if every else best(n, self.final, self.final_lengths)[1]
+        # 4 bytes each for every prefix: a word may be a whole text
+        last, count, out = array("i", bytes(4 * n + 4)), array("i", bytes(4 * n + 4)), array("i")
+        if not n:
+            return out, 0
+        at, here = 0, []
+        for end, token, size in self.suffixes(raw):
+            if end != at:
+                self._settle(at, here, last, count)
+                if every and at:
+                    out.append(self._last(at, raw, last, count))
+                at, here = end, []
+            here.append((size, token))
+        self._settle(n, here, last, count)
+        whole = self._last(n, raw, last, count)
+        if every:
+            out.append(whole)
+        return out, whole
+
+    def suffixes(self, raw: bytes) -> Iterator[tuple[int, int, int]]:
+        """(end, token, its length) of all tokens in a word, by their ends."""
+        return ((i + 1, t, k) for i, (t, k) in self.finder.iter(raw.decode("latin-1")))
+
+    def _settle(self, i: int, here: list[tuple[int, int]], last: array, count: array) -> None:
+        """The prefix of length i: its last token is the longest that is stable after the prefix before it."""
+        if not i:
+            return
+        for k, t in sorted(here, reverse=True):
+            if k == i or self.valid_one(last[i - k], t):
+                last[i], count[i] = t, count[i - k] + 1
+                return
+        raise AssertionError("single bytes always fit")
+
+    def _last(self, i: int, raw: bytes, last: array, count: array) -> int:
+        """The count of the first i bytes as a word."""
+        for k in self.final_lengths:
+            if k <= i and (t := self.final.get(raw[i - k : i])) is not None and (k == i or self.valid_one(last[i - k], t)):
+                return count[i - k] + 1
+        raise AssertionError("single bytes always fit")
 
     def words(self, raws: list[bytes]) -> np.ndarray:
         """Token count of each word (piece)."""
@@ -271,22 +322,27 @@ class PrefixCounter:
         total, at = 0, 0
         for m in re.finditer("[^ ]+", text):
             out[at + 1 : m.start() + 1] = total
-            done = m.start()
-            for piece, start, stop in self._spans(m[0]):
-                out[done + 1 : m.start() + start + 1] = total
-                raw = piece.encode()
-                table = self.long_word(raw, True)[0]
-                for k in range(1, len(piece) + 1):
-                    out[m.start() + start + k] = total + table[len(piece[:k].encode()) - 1]
-                if piece[0] == "'" and piece[-1].isalpha():  # a contraction begun is not one yet: 'r of 're
-                    for k in range(2, len(piece)):
-                        out[m.start() + start + k] = total + self.long_word(b"'", False)[1] + self.long_word(piece[1:k].encode(), False)[1]
-                total += table[-1]
-                done = m.start() + stop
+            out[m.start() + 1 : m.end() + 1] = total + self.run_table(m[0])
+            total = out[m.end()]
             at = m.end()
         out[at + 1 :] = total
         return out
 
+    def run_table(self, run: str) -> np.ndarray:
+        """Token counts of the first 1, 2, ... characters of a run of normalised text without white space."""
+        out = np.zeros(len(run), np.int64)
+        total, done = 0, 0
+        for piece, start, stop in self._spans(run):
+            out[done:start] = total
+            size = np.cumsum([len(c.encode()) for c in piece])
+            out[start:stop] = total + np.array(self.long_word(piece.encode(), True)[0], np.int64)[size - 1]
+            if piece[0] == "'" and piece[-1].isalpha():  # a contraction begun is not one yet: 'r of 're
+                for k in range(2, len(piece)):
+                    out[start + k - 1] = total + self.long_word(b"'", False)[1] + self.long_word(piece[1:k].encode(), False)[1]
+            total, done = out[stop - 1], stop
+        out[done:] = total
+        return out
+
     def _spans(self, run: str) -> list[tuple[str, int, int]]:
         of = byte_letters()
         return [(bytes(map(of.__getitem__, x)).decode(), a, b) for x, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(run)]
@@ -298,18 +354,39 @@ class PrefixCounter:
         """
         return self.library.normalizer.normalize_str(text)
 
-    def truncate(self, text: str, budget: int) -> str:
-        """The longest prefix of the normalised text with at most budget tokens."""
-        table = self.prefix_table(text)
-        return self.normalised(text)[: int(np.flatnonzero(table <= budget)[-1])]
+    def truncate(self, text: str, budget: int) -> tuple[str, int]:
+        """(the longest prefix of the normalised text with at most budget tokens, their number).
+
+        The counts at the ends of the runs say in which run the budget ends; only this one's own table is looked into.
+        """
+        text = self.normalised(text)
+        runs = [m.span() for m in re.finditer("[^ ]+", text)]
+        upto = np.concatenate(([0], np.cumsum(self.plain_chunks([text[a:z].encode() for a, z in runs]), dtype=np.int64)))
+        k = int(np.searchsorted(upto, budget, "right")) - 1  # runs that fit whole
+        if k == len(runs):
+            return text, int(upto[-1])
+        a, z = runs[k]
+        table = upto[k] + self.run_table(text[a:z])
+        within = np.flatnonzero(table <= budget)
+        if not within.size:
+            return text[:a], int(upto[k])
+        return text[: a + int(within[-1]) + 1], int(table[within[-1]])
+
+    def plain_chunks(self, chunks: list[bytes]) -> list[int]:
+        """As chunks(), strings of special tokens being ordinary text."""
+        held, self.special = self.special, None
+        try:
+            return self.chunks(chunks)
+        finally:
+            self.special = held
 
 
 class CountCache(dict):
-    """run without white space -> token count; emptied when full."""
+    """run without white space -> token count; emptied when full, and long runs are forgotten after their batch."""
 
     def __init__(self, counter: PrefixCounter, most: int = 600_000):
         super().__init__()
-        self.counter, self.most = counter, most
+        self.counter, self.most, self.long = counter, most, []
 
     def fill(self, runs: set[bytes]) -> None:
         new = [c for c in runs if c not in self]
@@ -317,6 +394,12 @@ class CountCache(dict):
             self.clear()
             new = list(runs)
         self.update(zip(new, self.counter.chunks(new), strict=True))
+        self.long = [r for r in new if len(r) > LONGEST]
+
+    def forget(self) -> None:
+        """Drops the long runs of the last fill."""
+        for r in self.long:
+            self.pop(r, None)
 
 
 _caches: dict[str, CountCache] = {}
@@ -328,20 +411,72 @@ def _cache(path: str) -> CountCache:
     return _caches[path]
 
 
+def _stores(raws: list[bytes], vocabulary: str) -> list[np.ndarray]:
+    """Of each text the token counts at the ends of its runs: the i-th is that of the first i runs."""
+    cache = _cache(vocabulary)
+    runs = [r.split() for r in raws]
+    cache.fill(set().union(*runs))
+    out = [np.concatenate(([0], np.cumsum(np.fromiter(map(cache.__getitem__, r), np.int64, len(r))))) for r in runs]
+    cache.forget()
+    return out
+
+
+def fits(store: np.ndarray, budget: int) -> int:
+    """How many runs of a text have at most budget tokens."""
+    return int(np.searchsorted(store, budget, "right")) - 1
+
+
 def count_tokens(documents: DataFrame, vocabulary: str, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: (<id_col>, n_bytes, n_tokens, over_limit).
 
-    ``vocabulary`` is a file of the tokenizers library that every executor has. Null texts count as empty: no tokens.
-    Ids are carried along row by row, null and repeated ones too; other columns are not read.
+    ``vocabulary`` is a file of the tokenizers library that every executor has. Null and empty texts have no tokens. Texts
+    are read whole, however long. Ids are carried along row by row, null and repeated ones too; other columns are not
+    read. An empty table gives an empty result.
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        cache = _cache(vocabulary)
         raws = texts(batch, "t")
-        runs = [r.split() for r in raws]
-        cache.fill(set().union(*runs))
-        n = [sum(map(cache.__getitem__, r)) for r in runs]
-        return pa.record_batch([batch.column("i"), pa.array(map(len, raws), pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
+        stores = _stores(raws, vocabulary)
+        over = [fits(s, limit) < len(s) - 1 for s in stores]
+        return pa.record_batch([batch.column("i"), pa.array(map(len, raws), pa.int64()), pa.array([s[-1] for s in stores], pa.int64()), pa.array(over, pa.bool_())], names=[id_col, "n_bytes", "n_tokens", "over_limit"])
 
     kind = documents.schema[id_col].dataType.simpleString()
     return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"`{id_col}` {kind}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+
+
+def prefix_store(documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: (<id_col>, upto): token counts of the text up to the end of each run between white space.
+
+    upto[0] is 0 and the last is the text's count, so budgets are answered from the stored counts: see runs_within().
+    Nulls, long texts, ids and empty tables are as in count_tokens().
+    """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        stores = _stores(texts(batch, "t"), vocabulary)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum([len(s) for s in stores]))).astype(np.int32)), pa.array(np.concatenate(stores) if stores else np.empty(0, np.int64)))
+        return pa.record_batch([batch.column("i"), lists], names=[id_col, "upto"])
+
+    kind = documents.schema[id_col].dataType.simpleString()
+    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"`{id_col}` {kind}, upto array<bigint>")
+
+
+def runs_within(upto: Column, budget: int) -> Column:
+    """Of a stored table, how many runs from the text's start have at most budget tokens: no text is read."""
+    return F.size(F.filter(upto, lambda x: x <= F.lit(budget))) - 1
+
+
+def truncate_texts(documents: DataFrame, vocabulary: str, budget: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: (<id_col>, text, n_tokens): the longest prefix with at most budget tokens, and their number.
+
+    Prefixes are those of the normalised text, in which strings of special tokens are ordinary text; the counts of all
+    prefixes come out of one table, and nothing is encoded. Null and empty texts give empty ones. Long texts, ids and
+    empty tables are as in count_tokens().
+    """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counter = _cache(vocabulary).counter
+        got = [counter.truncate(t.decode(), budget) for t in texts(batch, "t")]
+        return pa.record_batch([batch.column("i"), pa.array([t for t, _ in got], pa.string()), pa.array([n for _, n in got], pa.int64())], names=[id_col, "text", "n_tokens"])
+
+    kind = documents.schema[id_col].dataType.simpleString()
+    return map_batches(documents, {"i": id_col, "t": text_col}, "t", work, f"`{id_col}` {kind}, text string, n_tokens bigint")

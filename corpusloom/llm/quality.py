@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.batches import map_batches, texts
+from corpusloom.llm.batches import map_batches, slices, texts
 from corpusloom.llm.words import SPACES
 
 SYMBOLS = b"#*$%&|<>"
@@ -124,8 +124,9 @@ def order_rules(measured: list[tuple[str, float, float]], rules: tuple[Rule, ...
 
 
 def sampled(documents: DataFrame, text_col: str, rows: int) -> list[bytes]:
-    """About rows texts (never more than twice that) for estimates, spread over the table by hash of the text."""
-    few = documents.select(F.col(f"`{text_col}`").alias("t")).where("t is not null")
+    """About rows texts (never more than twice that, and of 64 KB each) for estimates, spread over the table by hash of the
+    text. They set the order of rules, which changes no verdict."""
+    few = documents.select(F.col(f"`{text_col}`").alias("t")).where("t is not null and octet_length(t) <= 65536")
     n = few.count()
     if n > rows:
         few = few.where(F.pmod(F.xxhash64("t"), F.lit(n)) < rows)
@@ -139,7 +140,7 @@ def quality_cascade(documents: DataFrame, rules: tuple[Rule, ...] = RULES, id_co
     rejected_by is the first rule of the cascade that rejects, null for kept documents. ``order`` fixes the cascade's
     order by rule names; else it is estimated on ``sample_rows`` texts. ``measures`` names long columns to return.
     Null and empty texts have no words and are judged like any other text. Ids, null or repeated ones too, are carried
-    along row by row; other columns are not read. An empty table gives an empty result.
+    along row by row; other columns are not read. Texts are read whole, however long. An empty table gives an empty result.
     """
     if order is None:
         rules = order_rules(estimate(sampled(documents, text_col, sample_rows), rules), rules)
@@ -157,12 +158,16 @@ def quality_cascade(documents: DataFrame, rules: tuple[Rule, ...] = RULES, id_co
 
 
 def keep_passing(documents: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text", sample_rows: int = 256) -> DataFrame:
-    """The rows of documents that no rule rejects, all columns as they are, in one pass that stops at the first rejection."""
+    """The rows of documents that no rule rejects, all columns as they are, in one pass that stops at the first rejection.
+
+    Null and empty texts have no words and are judged like any other. Texts are read whole, some megabytes at a time.
+    Null ids, repeated rows and columns of any name are carried along. An empty table gives an empty result.
+    """
     rules = order_rules(estimate(sampled(documents, text_col, sample_rows), rules), rules)
     at = documents.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, text_col)):
             raws = [b"" if t is None else t for t in batch.column(at).cast(pa.binary()).to_pylist()]
             keep = [not any(r.rejects(d) for r in rules) for d in map(Doc, raws)]
             yield batch.filter(pa.array(keep, pa.bool_()))

@@ -109,7 +109,7 @@ nat AS (
   SELECT CASE WHEN list_max(list_transform(p, lambda x: 1 / x)) / len(p) > 4.0 THEN greatest(low, rlow) ELSE low END AS a, p FROM search WHERE i = 45
 ), targets AS (
   SELECT source AS of_, tokens, ceil(docs / 2000.0)::BIGINT AS blocks,
-         (round(pow(tokens::DOUBLE / t, a) / list_sum(list_transform(p, lambda x: pow(x, a))) * 1000000)::HUGEINT * t // 1000000)::BIGINT AS target
+         (round(pow(tokens::DOUBLE / t, a) / list_sum(list_transform(p, lambda x: pow(x, a))) * 1000000000000)::HUGEINT * t // 1000000000000)::BIGINT AS target
   FROM src, tot, exponent
 ), keyed AS (
   SELECT *, md5(concat_ws('|', '7', coalesce(id::VARCHAR, '~'), coalesce(digest, '~'))) AS key

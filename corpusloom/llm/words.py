@@ -11,17 +11,23 @@ _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.
 _S30, _S27, _S31 = np.uint64(30), np.uint64(27), np.uint64(31)
 
 
+#: Longer words and runs are not kept in caches: one may be a whole text.
+LONGEST = 200
+
+
 class WordHashes(dict):
-    """word -> xxh64 of its bytes; emptied when full, so that its memory is bounded."""
+    """word -> xxh64 of its bytes; emptied when full, and without long words, so that its memory is bounded."""
 
     def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
+        h = xxhash.xxh64_intdigest(word)
+        if len(word) <= LONGEST:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = h
         return h
 
 

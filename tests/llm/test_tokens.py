@@ -4,11 +4,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from corpusloom.llm import packing as P
 from corpusloom.llm import prefix_counts as C
+from corpusloom.llm.words import WordHashes
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -54,12 +57,52 @@ def test_every_prefix_equals_the_library(counter, text):
 def test_truncate(counter):
     text = "internationalisation of the telecommunication can't wait"
     for budget in range(12):
-        cut = counter.truncate(text, budget)
-        assert library_counts(counter, [cut])[0] <= budget
+        cut, n = counter.truncate(text, budget)
+        assert library_counts(counter, [cut])[0] == n <= budget
         longer = [text[:k] for k in range(len(cut) + 1, len(text) + 1)]
         assert all(n > budget for n in library_counts(counter, longer) or [99])
 
 
+def test_truncate_equals_trying_all_prefixes(counter):
+    rng = random.Random(3)
+    for _ in range(60):
+        text = counter.normalised("".join(rng.choice("abcdefgh 'stre,.é") for _ in range(rng.randrange(50))))
+        prefixes = [text[:k] for k in range(len(text) + 1)]
+        counts = library_counts(counter, prefixes)
+        if any(counter.normalised(p) != p for p in prefixes):
+            continue
+        for budget in range(0, max(counts) + 2, 3):
+            k = max(k for k, n in enumerate(counts) if n <= budget)
+            assert counter.truncate(text, budget) == (prefixes[k], counts[k])
+
+
+def test_a_run_of_1_mb_without_blanks(counter):
+    """Whole, in memory that grows with it; the library cuts such a run after its own length only."""
+    rng = random.Random(5)
+    run = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    want = len(counter.library.encode(run[:100_000], add_special_tokens=False).ids)
+    assert counter.chunks([run[:100_000].encode()]) == [want]
+    whole = counter.chunks([run.encode()])[0]
+    assert abs(whole / 1_000_000 - want / 100_000) < 0.01 * want / 100_000
+    cut, n = counter.truncate(run + " tail", 1000)
+    assert library_counts(counter, [cut]) == [n] and n <= 1000 < library_counts(counter, [run[: len(cut) + 20]])[0]
+
+
+def test_stored_counts_answer_budgets(spark, edge, nothing, counter):
+    texts = ["the quick brown fox can't wait", "", None, "internationalisation " * 30, "x" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    stores = C.prefix_store(df, PATH)
+    got = {r.doc_id: (r.upto, r.k) for r in stores.select("*", C.runs_within(F.col("upto"), 7).alias("k")).collect()}
+    for i, t in enumerate(texts):
+        runs = (t or "").split()
+        want = library_counts(counter, [" ".join(runs[:k]) for k in range(len(runs) + 1)])
+        assert got[i] == (want, max(k for k, n in enumerate(want) if n <= 7))
+    cut = {r.doc_id: (r.text, r.n_tokens) for r in C.truncate_texts(df, PATH, 7).collect()}
+    for i, t in enumerate(texts):
+        assert cut[i][1] == library_counts(counter, [cut[i][0]])[0] <= 7 and (t or "").startswith(cut[i][0])
+    assert C.truncate_texts(edge, PATH, 50).count() == 10 and C.truncate_texts(nothing, PATH, 5).collect() == [] and C.prefix_store(nothing, PATH).collect() == []
+
+
 def test_caches_stay_bounded(counter):
     cache, ids = C.CountCache(counter, 50), P.RunIds(PATH, 50)
     for i in range(10):
@@ -67,6 +110,13 @@ def test_caches_stay_bounded(counter):
         cache.fill(runs)
         ids.fill(runs)
         assert len(cache) <= 71 and len(ids) <= 71 and all(r in cache and r in ids for r in runs)
+    for held in (cache, ids):
+        held.fill({b"y" * 1000, b"z," * 400, "é".encode() * 300 + b"!"})
+        held.forget()
+        assert max(map(len, held)) <= 200
+    hashes = WordHashes(9)
+    for i in range(30):
+        assert hashes[b"w" * i * 10] == xxhash.xxh64_intdigest(b"w" * i * 10) and len(hashes) <= 9 and max(map(len, hashes)) <= 200
 
 
 def test_count_tokens_edges(edge, nothing, counter):
