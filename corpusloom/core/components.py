@@ -2,38 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.core.workspace import cut
 
-#: A key is hot if it holds more than one row of so many; there are no more hot keys than that.
-HOT = 1000
+#: A key is hot if it has more than MOST rows, and more than one row in HOT; there are no more than HOT such keys.
+HOT, MOST = 1000, 1 << 16
 
 
-def join_split(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, how: str = "inner") -> DataFrame:
+def join_split(left: DataFrame, right: DataFrame, keys: list[str], rows: str, total: int, most: int) -> DataFrame:
     """left join right (one row a key), without sending all of a hot key's rows to one task.
 
-    right's column ``rows`` says how many of left's ``total`` rows a key has. The hot keys, at most HOT as their rows add
-    up to the total, are broadcast; all others are shuffled.
+    right's column ``rows`` says how many of left's ``total`` rows a key has; none has more than ``most``. Hot keys, if
+    there can be any, are broadcast: at most HOT, as their rows add up to the total. All others are shuffled.
     """
-    hot = right.where(F.col(rows) * HOT > total)
-    spread = left.join(F.broadcast(hot), keys)
-    return spread.unionByName(left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(right.where(F.col(rows) * HOT <= total), keys, how))
+    least = max(MOST, total // HOT)
+    if most <= least:
+        return left.join(right, keys)
+    hot = F.broadcast(right.where(F.col(rows) > least))
+    rest = left.join(F.broadcast(right.where(F.col(rows) > least).select(*keys)), keys, "left_anti")
+    return left.join(hot, keys).unionByName(rest.join(right.where(F.col(rows) <= least), keys))
 
 
-def _star(pairs: DataFrame, total: int) -> DataFrame:
-    """pairs (node, near), ``total`` of them -> each pair with the smallest of the node and all its near ones."""
+def _star(pairs: DataFrame, total: int, most: int) -> DataFrame:
+    """pairs (node, near), ``total`` of them, ``most`` of a node -> each pair with the smallest of the node and all its near ones."""
     low = pairs.groupBy("node").agg(F.min("near").alias("low"), F.count("*").alias("rows"))
     low = low.select("node", F.least("node", "low").alias("low"), "rows")
-    return join_split(pairs, low, ["node"], "rows", total).drop("rows")
+    return join_split(pairs, low, ["node"], "rows", total, most).drop("rows")
 
 
-def _settled(pairs: DataFrame) -> bool:
-    """Whether every node points at one smaller node that points at none: that one is then its component's smallest."""
+def _state(pairs: DataFrame) -> tuple[bool, int, int]:
+    """(settled, rows, most): whether every node points at one smaller node that points at none, so that this one is its
+    component's smallest; the number of rows, each counted for both its ends, and of those of one end at most."""
     roles = pairs.select(F.col("node").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down"))
-    roles = roles.union(pairs.select("near", F.lit(0), F.lit(1)))
-    return not roles.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up + down > 1 and up > 0").limit(1).count()
+    ends = roles.union(pairs.select("near", F.lit(0), F.lit(1))).groupBy("x").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    bad, rows, most = ends.agg(F.bool_or(F.expr("up > 0 and up + down > 1")), F.sum(F.col("up") + F.col("down")), F.max(F.col("up") + F.col("down"))).first()
+    return not bad, rows or 0, most or 0
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -43,23 +48,21 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     folder. Null ends and loops carry no link; a node that has only a loop is its own component.
     """
     ends = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x is not null and y is not null")
-    seen = Observation()
-    rows = F.count("*").alias("rows")
-    now = cut(ends.select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("near")).distinct().observe(seen, rows), "edges")
+    now = cut(ends.select(F.greatest("x", "y").alias("node"), F.least("x", "y").alias("near")).distinct(), "edges")
     every = now
     now = now.where("node <> near")
     for _ in range(max_rounds):
-        if _settled(now):
+        settled, total, most = _state(now)
+        if settled:
             break
-        total = 2 * seen.get["rows"]
         both = now.union(now.select(F.col("near").alias("node"), F.col("node").alias("near")))
-        large = _star(both, total).where("near > node").select(F.col("near").alias("node"), F.col("low").alias("near"))
+        large = _star(both, total, most).where("near > node").select(F.col("near").alias("node"), F.col("low").alias("near"))
         large = large.where("node <> near").distinct()
-        small = _star(large, total)
+        # a node has no more rows here: one for each smaller node near it
+        small = _star(large, total, most)
         now = small.select(F.col("near").alias("node"), F.col("low").alias("near"))
         now = now.union(small.select("node", F.col("low").alias("near"))).where("node <> near").distinct()
-        seen = Observation()
-        now = cut(now.observe(seen, rows), "stars")
+        now = cut(now, "stars")
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = every.select("node").union(every.select("near")).distinct()
