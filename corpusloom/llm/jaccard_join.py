@@ -452,7 +452,7 @@ def _clusters(members: DataFrame) -> DataFrame:
     return whole.select("cluster", "m", ((F.col("w") > BLOCK_SHINGLES) | (F.col("m") > BLOCK_SETS)).alias("large"))
 
 
-def _dealt(members: DataFrame, total: int, percent: int) -> DataFrame:
+def _dealt(members: DataFrame, total: int, most: int, percent: int) -> DataFrame:
     """Members (cluster, node, rep, copies, size), each once for every unit that it takes part in: with _KEY and side.
 
     Only names and sizes are dealt here; the sets join them afterwards, once.
@@ -461,7 +461,7 @@ def _dealt(members: DataFrame, total: int, percent: int) -> DataFrame:
     sizes._grow(1 << 40)
     bounds = F.array(*[F.lit(x) for x in sizes.low])
     members = members.withColumn("class", F.size(F.filter(bounds, lambda b: b <= F.col("size"))) - 1)
-    members = join_split(members, _clusters(members).where("m > 1"), ["cluster"], "m", total).drop("m")
+    members = join_split(members, _clusters(members).where("m > 1"), ["cluster"], "m", total, most).drop("m")
     blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int")
     large = members.where("large")
     per = large.groupBy("cluster", "class").agg(blocks.alias("nb"), F.count("*").alias("m"))
@@ -472,7 +472,7 @@ def _dealt(members: DataFrame, total: int, percent: int) -> DataFrame:
     up = per.select("cluster", (F.col("class") - 1).alias("class"), F.col("nb").alias("nb_up"))
     down = per.select("cluster", (F.col("class") + 1).alias("class"), F.col("nb").alias("nb_down"))
     per = per.join(up, ["cluster", "class"], "left").join(down, ["cluster", "class"], "left")
-    dealt = join_split(large, per, ["cluster", "class"], "m", total).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
+    dealt = join_split(large, per, ["cluster", "class"], "m", total, most).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nb")).cast("int"))
     c, b = F.col("class"), F.col("b")
     unit = lambda j, x, k, y, side: F.struct(j.alias("j"), x.alias("x"), k.alias("k"), y.alias("y"), side.cast("int").alias("side"))
     upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -491,29 +491,29 @@ def _classes(documents: DataFrame, n: int, percent: int, id_col: str, text_col:
     # one document to read each set from
     rep = known.groupBy("node").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("n_shingles").alias("size"), (F.min("node_check") != F.max("node_check")).alias("clash"))
     seen = Observation()
-    rep = cut(rep.observe(seen, F.sum("copies").alias("rows"), F.bool_or("clash").alias("clash")).drop("clash"), "nodes")
-    totals = seen.get if rep.limit(1).count() else {"rows": 0, "clash": False}
+    rep = cut(rep.observe(seen, F.sum("copies").alias("rows"), F.max("copies").alias("most"), F.bool_or("clash").alias("clash")).drop("clash"), "nodes")
+    totals = seen.get if rep.limit(1).count() else {"rows": 0, "most": 0, "clash": False}
     if totals["clash"]:
         raise RuntimeError("two different sets have one 64-bit name")
     with_id = documents.where(F.col(f"`{id_col}`").isNotNull())
     clusters = connected_components(candidate_ties(with_id, n, percent, text_col)).withColumnRenamed("component", "cluster")
     members = cut(clusters.join(rep, "node"), "members")
-    total = members.count()
-    large = join_split(members, _clusters(members), ["cluster"], "m", total).drop("m")
-    if _clusters(members).where("large").limit(1).count():
+    total, most, some = _clusters(members).agg(F.coalesce(F.sum("m"), F.lit(0)), F.coalesce(F.max("m"), F.lit(0)), F.bool_or("large")).first()
+    if some:
+        large = join_split(members, _clusters(members), ["cluster"], "m", total, most).drop("m")
         parted = _parted(documents, large.where("large").drop("large"), n, percent, id_col, text_col)
         members = cut(large.where("not large").drop("large").unionByName(parted), "parted")
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    units = _dealt(members, total, percent).join(_read_sets(documents, members, n, id_col, text_col), ["node", "rep"])
+    units = _dealt(members, total, most, percent).join(_read_sets(documents, members, n, id_col, text_col), ["node", "rep"])
     units = units.select(*_KEY, "node", "grams", "copies", "side").repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "node")
     links = cut(units.mapInArrow(_units(percent), "a bigint, b bigint, degree bigint"), "links")
     component = connected_components(links)
     degree = links.groupBy(F.col("b").alias("node")).agg(F.sum("degree").alias("degree"))
     placed = cut(rep.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
     low = placed.groupBy("component").agg(F.min(F.struct("rep", "node")).alias("low"), F.count("*").alias("m"))
-    placed = join_split(placed, low, ["component"], "m", totals["rows"]).join(degree, "node", "left")
+    placed = join_split(placed, low, ["component"], "m", totals["rows"], most).join(degree, "node", "left")
     placed = cut(placed.select("node", "low", "copies", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "found")
-    out = join_split(known.select("id", "n_shingles", "node"), placed, ["node"], "copies", totals["rows"]).drop("copies")
+    out = join_split(known.select("id", "n_shingles", "node"), placed, ["node"], "copies", totals["rows"], totals["most"]).drop("copies")
     rest = names.where("id is null or node is null").select("id", "n_shingles", F.lit(None).cast("bigint").alias("node"))
     return out.unionByName(rest, allowMissingColumns=True)
 

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from corpusloom.core import components
 from corpusloom.llm import jaccard_join as J
 
 
@@ -69,6 +70,8 @@ def test_equals_brute_force(spark, n, percent):
 
 
 def test_large_clusters_are_dealt_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(components, "MOST", 3)
+    monkeypatch.setattr(components, "HOT", 20)
     monkeypatch.setattr(J, "BLOCK_SETS", 5)
     monkeypatch.setattr(J, "BLOCK_SHINGLES", 700)
     rows = corpus(7, 6, 40)
@@ -155,7 +158,7 @@ def test_a_large_cluster_with_a_shared_passage(spark, monkeypatch):
     units, large = [], []
     dealt, parted = J._dealt, J._parted
     monkeypatch.setattr(J, "_parted", lambda docs, m, *rest: large.append(m.count()) or parted(docs, m, *rest))
-    monkeypatch.setattr(J, "_dealt", lambda m, total, percent: units.append(dealt(m, total, percent)) or units[-1])
+    monkeypatch.setattr(J, "_dealt", lambda *a: units.append(dealt(*a)) or units[-1])
     got = result(spark, list(enumerate(texts)), 3, 90)
     sets = [shingles(t, 3) for t in texts]
     common = sorted(shingles(" ".join(passage), 3))
