@@ -29,11 +29,14 @@ def with_reasons(df: DataFrame, **reasons: Column) -> DataFrame:
     return df.withColumn("removal_reasons", F.concat(had, *more))
 
 
-def dotted(df: DataFrame, path: str) -> Column | None:
+def dotted(df: DataFrame, path: str, default: object = None) -> Column | None:
     """The column at a dotted path through structs and maps, or None where the schema has no such path.
 
-    A column whose own name has the dots comes first.
+    A column whose own name has the dots comes first. With a default, a literal, that stands for missing paths and nulls.
     """
+    if default is not None:
+        found = dotted(df, path)
+        return F.lit(default) if found is None else F.coalesce(found, F.lit(default))
     if path in df.columns:
         return F.col(f"`{path}`")
     first, *rest = path.split(".")

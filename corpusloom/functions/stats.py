@@ -42,6 +42,11 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
 
 
+def map_totals(df: DataFrame, column: str) -> DataFrame:
+    """(key, n): the sums of a map column's values over all rows, by key."""
+    return df.select(F.explode(column).alias("key", "k")).groupBy("key").agg(F.sum("k").alias("n"))
+
+
 def most_common(df: DataFrame, column: str, k: int) -> DataFrame:
     """The k most frequent values (value, n); ties by value."""
     return histogram(df, column).orderBy(F.desc("n"), "value").limit(k)

@@ -104,10 +104,13 @@ def issue_metrics(
     disabled_rules: tuple[str, ...] = (),
     exclude_proper_nouns: bool = False,
     num_words_field: str = "num_words",
+    words: str | None = None,
+    word_types: tuple[str, ...] = ("misspelling",),
 ) -> DataFrame:
     """metrics.<prefix> = {types, count, density, excluded_proper_nouns}, all native.
 
-    The density's denominator is num_words where that is positive, else the text's tokens, and at least 1.
+    The density's denominator is num_words where that is positive, else the text's tokens, and at least 1. ``words`` names
+    a column of (word, rule_id) for the counted matches of word_types, words lower-cased.
     """
     require(df, input_field)
     text = F.col(f"`{input_field}`")
@@ -118,8 +121,11 @@ def issue_metrics(
     kinds = F.transform("_kept", lambda m: m["issue_type"])
     types = F.map_from_entries(F.transform(F.array_sort(F.array_distinct(kinds)), lambda k: F.struct(k, F.size(F.filter(kinds, lambda x: x == k)))))
     given = F.coalesce(F.col(num_words_field).cast("int"), F.lit(0)) if num_words_field in df.columns else F.lit(0)
-    words = F.greatest(F.when(given > 0, given).otherwise(token_count(text)), F.lit(1))
-    value = F.struct(types.alias("types"), F.size("_kept").alias("count"), (F.size("_kept") / words).alias("density"), (F.size("_found") - F.size("_kept")).alias("excluded_proper_nouns"))
+    n_words = F.greatest(F.when(given > 0, given).otherwise(token_count(text)), F.lit(1))
+    value = F.struct(types.alias("types"), F.size("_kept").alias("count"), (F.size("_kept") / n_words).alias("density"), (F.size("_found") - F.size("_kept")).alias("excluded_proper_nouns"))
+    if words:
+        shown = lambda m: F.struct(F.lower(F.substring(text, m["offset"] + 1, m["length"])).alias("word"), m["rule_id"].alias("rule_id"))
+        df = df.withColumn(words, F.transform(F.filter("_kept", lambda m: m["issue_type"].isin(list(word_types))), shown))
     return with_metrics(df, **{metric_prefix: value}).drop("_found", "_kept")
 
 

@@ -6,6 +6,7 @@ its own, rows that do not change keep null there. Null texts stay null.
 
 from __future__ import annotations
 
+import codecs
 import html
 import re
 import unicodedata
@@ -78,46 +79,42 @@ def _sloppy(codec: str) -> dict[int, int]:
 
 
 _PAGES = {"latin-1": {b: b for b in range(256)}, "windows-1252": _sloppy("cp1252"), "windows-1251": _sloppy("cp1251"), "windows-1250": _sloppy("cp1250"), "macroman": _sloppy("mac_roman")}
-#: In a code page's characters, a run that is UTF-8 of two bytes or more.
-_UTF8 = re.compile(rb"(?:[\xc2-\xdf][\x80-\xbf]|[\xe0-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})+")
+
+
+def _utf8_in(page: dict[int, int]) -> re.Pattern:
+    """A character of UTF-8 of two bytes or more, as it looks in a code page."""
+    span = lambda low, high: "[" + "".join(re.escape(chr(c)) for c, b in page.items() if low <= b <= high) + "]"
+    trail = span(0x80, 0xBF)
+    return re.compile(f"{span(0xC2, 0xDF)}{trail}|{span(0xE0, 0xEF)}{trail}{{2}}|{span(0xF0, 0xF4)}{trail}{{3}}")
+
+
+_UTF8 = {name: _utf8_in(page) for name, page in _PAGES.items()}
+_PARTS = {b: b for b in range(0x80, 0xA0)} | _PAGES["windows-1252"]
+_UTF8_PARTS = _utf8_in(_PARTS)
 
 
 def _reread(text: str) -> tuple[str, str] | None:
     """(text, code page) if the whole text is UTF-8 that was read in that code page."""
     for name, page in _PAGES.items():
+        if not _UTF8[name].search(text):
+            continue
         try:
-            raw = bytes(page[ord(c)] for c in text)
-        except KeyError:
+            return codecs.charmap_encode(text, "strict", page)[0].decode("utf-8"), name
+        except UnicodeError:
             continue
-        if not raw.isascii() and _UTF8.search(raw):
-            try:
-                return raw.decode("utf-8"), name
-            except UnicodeDecodeError:
-                if name == "latin-1":
-                    continue
     return None
 
 
 def _reread_parts(text: str) -> str:
-    """Runs of windows-1252 characters that are UTF-8, read anew, in a text that is not so as a whole."""
-    page = _PAGES["windows-1252"]
-    raw = [page.get(ord(c), -1) for c in text]
-    out, i = [], 0
-    while i < len(text):
-        b = raw[i]
-        n = 2 if 0xC2 <= b <= 0xDF else 3 if 0xE0 <= b <= 0xEF else 4 if 0xF0 <= b <= 0xF4 else 0
-        part = raw[i : i + n]
-        # two such characters side by side are rare in prose only if the second is no letter
-        if n and len(part) == n and all(0x80 <= x <= 0xBF for x in part[1:]):
-            try:
-                out.append(bytes(part).decode("utf-8"))
-                i += n
-                continue
-            except UnicodeDecodeError:
-                pass
-        out.append(text[i])
-        i += 1
-    return "".join(out)
+    """Characters of windows-1252, or C1 controls, that are UTF-8, read anew, in a text that is not so as a whole."""
+
+    def new(m: re.Match) -> str:
+        try:
+            return bytes(_PARTS[ord(c)] for c in m[0]).decode("utf-8")
+        except UnicodeDecodeError:
+            return m[0]
+
+    return _UTF8_PARTS.sub(new, text)
 
 
 def repair(text: str) -> tuple[str, list[str]]:
@@ -139,15 +136,15 @@ def repair(text: str) -> tuple[str, list[str]]:
     if "<" not in text:
         step("apply", _ENTITY.sub(lambda m: html.unescape(m[0]), text))
     step("apply", _ESCAPE.sub("", text))
-    for _ in range(4):
-        if text.isascii():
-            break
+    # each turn makes the text shorter, so this ends
+    while not text.isascii():
         if got := _reread(text):
             text = got[0]
             steps += ["encode", "decode"]
-            continue
-        break
-    step("apply", _reread_parts(text) if not text.isascii() else text)
+        elif (new := _reread_parts(text)) != text:
+            step("apply", new)
+        else:
+            break
     step("transcode", re.sub("[\x80-\x9f]", lambda m: m[0].encode("latin-1").decode("cp1252", "ignore") or m[0], text) if re.search("[\x80-\x84\x86-\x9f]", text) else text)
     step("apply", text.translate(_LIGATURE))
     step("apply", re.sub("[！-￮　]", lambda m: unicodedata.normalize("NFKC", m[0]), text))
@@ -183,8 +180,14 @@ def clean_nfkc(df: DataFrame, input_field: str = "text", output_field: str | Non
     return put(df, input_field, output_field, batched(nfkc)(F.col(f"`{input_field}`")), flag)
 
 
-def clean_mojibake(df: DataFrame, input_field: str = "text", output_field: str | None = None, flag: str | None = None) -> DataFrame:
-    return put(df, input_field, output_field, repair_columns(F.col(f"`{input_field}`"))["text"], flag)
+def clean_mojibake(df: DataFrame, input_field: str = "text", output_field: str | None = None, flag: str | None = None, kinds: str | None = None) -> DataFrame:
+    """``kinds`` names a map column: how often each kind of step changed the text."""
+    require(df, input_field)
+    df = df.withColumn("_made", repair_columns(F.col(f"`{input_field}`")))
+    if kinds:
+        steps = F.col("_made.kinds")
+        df = df.withColumn(kinds, F.map_from_entries(F.transform(F.array_distinct(steps), lambda k: F.struct(k, F.size(F.filter(steps, lambda x: x == k))))))
+    return put(df, input_field, output_field, F.col("_made.text"), flag).drop("_made")
 
 
 def clean_wiki_markup(df: DataFrame, input_field: str = "text", output_field: str | None = None, flag: str | None = None) -> DataFrame:

@@ -102,7 +102,9 @@ def judge(df: DataFrame, rules: list[dict], column: str = "filtered_by") -> Data
 
 def split(judged: DataFrame, column: str = "filtered_by") -> tuple[DataFrame, DataFrame]:
     """(survivors without the column, rejects with it): together all rows."""
-    return judged.where(F.size(column) == 0).drop(column), judged.where(F.size(column) > 0)
+    # a column that is not deterministic keeps the filter above the rules, so that none of them is evaluated twice (streams have no such column)
+    held = judged if judged.isStreaming else judged.withColumn(column, F.when(F.monotonically_increasing_id() >= 0, F.col(column)))
+    return held.where(F.size(column) == 0).drop(column), held.where(F.size(column) > 0)
 
 
 def statistics(judged: DataFrame, rules: list[dict], column: str = "filtered_by") -> dict:

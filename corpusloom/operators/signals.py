@@ -78,11 +78,16 @@ def marker_words(markers: dict[str, tuple[str, ...]]) -> Predictor:
 
     def predict(text: Column) -> Column:
         low = F.lower(F.coalesce(text, F.lit("")))
-        hits = {label: F.regexp_count(low, F.lit(r"(?<![\p{L}\p{N}_])(?:" + "|".join(words) + r")(?![\p{L}\p{N}_])")) for label, words in markers.items()}
-        total = sum(hits.values(), F.lit(0))
-        ranked = F.array_max(F.array(*[F.struct(h.alias("n"), F.lit(-i).alias("at"), F.lit(label).alias("label")) for i, (label, h) in enumerate(hits.items())]))
-        score = F.when(total > 0, ranked["n"] / total).otherwise(F.lit(0.0))
-        return F.struct(F.when(total > 0, ranked["label"]).otherwise(F.lit("und")).alias("label"), score.alias("score"))
+        hits = [F.regexp_count(low, F.lit(r"(?<![\p{L}\p{N}_])(?:" + "|".join(words) + r")(?![\p{L}\p{N}_])")) for words in markers.values()]
+
+        def best(counts: Column) -> Column:
+            total = sum((counts[i] for i in range(len(markers))), F.lit(0))
+            ranked = F.array_max(F.array(*[F.struct(counts[i].alias("n"), F.lit(-i).alias("at"), F.lit(label).alias("label")) for i, label in enumerate(markers)]))
+            score = F.when(total > 0, ranked["n"] / total).otherwise(F.lit(0.0))
+            return F.struct(F.when(total > 0, ranked["label"]).otherwise(F.lit("und")).alias("label"), score.alias("score"))
+
+        # a lambda's variable is counted once, and its result is no struct expression that the optimizer takes apart
+        return F.transform(F.array(F.array(*hits)), best)[0]
 
     return predict
 

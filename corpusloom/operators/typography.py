@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.core.rows import require
 from corpusloom.operators.cleaners import put
 from corpusloom.operators.spelling_table import SPELLING
 
@@ -235,10 +236,16 @@ def clean_typography(
     apply_quotes: bool = True,
     lexicon: str | None = None,
     flag: str | None = None,
+    fires: str | None = None,
 ) -> DataFrame:
+    """``lexicon`` is the path of a file of replacements; ``fires`` names a map column: how often each rule fired."""
+    require(df, input_field)
     pairs: dict[str, str] | None = load_lexicon(lexicon) if lexicon else None
     cleaned: Callable = typography_columns(F.col(f"`{input_field}`"), pairs if apply_replacements else {}, typos=apply_typos, dashes=apply_dashes, nbsp=apply_nbsp, quotes=apply_quotes)
-    return put(df, input_field, output_field, cleaned["text"], flag)
+    df = df.withColumn("_made", cleaned)
+    if fires:
+        df = df.withColumn(fires, F.col("_made.fires"))
+    return put(df, input_field, output_field, F.col("_made.text"), flag).drop("_made")
 
 
 def rule_fires(df: DataFrame, input_field: str = "text", lexicon: dict[str, str] | None = None, **switches: bool) -> DataFrame:

@@ -16,6 +16,7 @@ from corpusloom.functions import stats
 from corpusloom.functions.pytext import token_count
 from corpusloom.operators import checker, cleaners, dedup, rules, signals, typography
 from corpusloom.operators.citations import TAGS, strip_citations
+from corpusloom.plans import pipeline
 from corpusloom.sources import readers, writers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +85,15 @@ def clean_mojibake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaners.clean_mojibake(damaged(spark, sf_dir, *MOJIBAKE)).select("doc_id", F.md5("text").alias("digest"))
 
 
+KINDS = (" ﬂat", " x\r\ny", " \x1b[31mz", " e\u0301", "")
+
+
+@query("SELECT CASE WHEN doc_id % 5 = 3 THEN 'normalize' ELSE 'apply' END AS key, count(*) AS n FROM documents WHERE doc_id % 5 < 4 GROUP BY 1")
+def mojibake_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each kind of step changed a text."""
+    return stats.map_totals(cleaners.clean_mojibake(damaged(spark, sf_dir, *KINDS), kinds="kinds"), "kinds")
+
+
 MARKUP = (" {{lang-en|Foo}} x", " [[a b|c]] ''d''", " {{нп3|x|y}}{{cite web|url=z}}", " <ref>no</ref> {{bt-bellat||two}}", "")
 MARKUP_CLEAN = (" Foo x", " c d", " y", " two", "")
 
@@ -97,13 +107,18 @@ def clean_wiki_markup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PHRASES = ("У сярэдзiне", "пасьля (сьвет)", "у 1918 - 1920 гг.", "сказаў \"так\" .", "на 10 % і 5 -6", "А.С.Пушкін № 5", "ня ўсё")
-PHRASES_CLEAN = ("У сярэдзіне", "пасля (свет)", "у 1918—1920\u00a0гг.", "сказаў «так» .", "на 10\u00a0% і 5 −6", "А.\u00a0С.\u00a0Пушкін №\u00a05", "ня ўсё")
 
 
-@query(f"SELECT doc_id, {sql_by_id('doc_id', *PHRASES_CLEAN)} AS text FROM documents")
-def clean_typography_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "documents").select("doc_id", by_id(F.col("doc_id"), *PHRASES).alias("text"))
-    return typography.clean_typography(df)
+SYMBOLS = (" &copy; x", " 5 -- 6", " x^2 y", " №№ 5", " so...", " a  b", "")
+SYMBOLS_CLEAN = (" © x", " 5 — 6", " x² y", " № 5", " so…", " a b", "")
+
+
+@query(f"SELECT doc_id, md5(text || {sql_by_id('doc_id', *SYMBOLS_CLEAN)}) AS digest FROM documents")
+def clean_typography_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts by the rules for symbols, dashes and blanks; those for quotes and hard blanks, switched off, change
+    some undamaged texts in ways that SQL has no short form for."""
+    df = damaged(spark, sf_dir, *SYMBOLS)
+    return typography.clean_typography(df, apply_nbsp=False, apply_quotes=False).select("doc_id", F.md5("text").alias("digest"))
 
 
 @query()
@@ -223,6 +238,37 @@ def language_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.histogram(df, "metrics.glotlid_label")
 
 
+def _sizes(texts: list[str]) -> list[list[float]]:
+    """A stand-in for an encoder: the length of a text."""
+    return [[float(len(t))] for t in texts]
+
+
+def _share(src: list[list[float]], tgt: list[list[float]]) -> list[float]:
+    """A stand-in for a quality model: the shorter side by the longer one."""
+    return [min(a, b) / max(a, b, 1.0) for (a,), (b,) in zip(src, tgt, strict=True)]
+
+
+_SHARE_SQL = "least(length(src), length(tgt)) / greatest(length(src), length(tgt), 1)"
+
+
+@query(f"SELECT conv_id, turn, round({_SHARE_SQL}, 9) AS quality FROM {_PAIRS_SQL}")
+def quality_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = signals.quality_estimate(pairs(spark, sf_dir), _sizes, _share)
+    return df.select("conv_id", "turn", F.round("metrics.blaser_score", 9).alias("quality"))
+
+
+@query(
+    f"""WITH q AS (SELECT {_SHARE_SQL} AS q FROM {_PAIRS_SQL}), v AS (SELECT list_sort(list(q)) AS l, count(*) AS n FROM q)
+    SELECT 'mean' AS statistic, round(avg(q), 9) AS value FROM q """
+    + " ".join(f"UNION ALL SELECT 'p{round(p * 100)}', round(l[least(floor(n * {p}::DOUBLE)::BIGINT, n - 1) + 1], 9) FROM v" for p in stats.QUANTILES)
+)
+def quality_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mean and the quantiles of the quality stage."""
+    got = pipeline.run(pairs(spark, sf_dir), pipeline.build([{"name": "blaser", "encode": _sizes, "score": _share}], pipeline.NEURAL))[1]["blaser"]
+    rows = [("mean", got["mean"]), *got["score_quantiles"].items()]
+    return spark.createDataFrame([(k, round(v, 9)) for k, v in rows], "statistic string, value double")
+
+
 @query(
     """SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 9) AS cosine
     FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
@@ -268,6 +314,27 @@ def checker_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.most_common(checker.flagged_words(df, F.col("matches")), "word", 500)
 
 
+_ISSUE_SQL = rf"(SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z]{{12,}}|\|')) AS w FROM documents)"
+
+
+@query(
+    f"""WITH i AS {_ISSUE_SQL}, m AS (SELECT lower(w) AS w FROM i WHERE w <> '|')
+    SELECT 'rows_total' AS statistic, '' AS key, count(*) AS n FROM documents
+    UNION ALL SELECT 'rows_with_matches', '', count(DISTINCT doc_id) FROM i
+    UNION ALL SELECT 'excluded_proper_nouns_total', '', 0
+    UNION ALL SELECT 'issue_type_totals', CASE w WHEN '|' THEN 'typographical' ELSE 'misspelling' END, count(*) FROM i GROUP BY 2
+    UNION ALL SELECT 'distinct_flagged_words', '', count(DISTINCT w) FROM m
+    UNION ALL SELECT 'total_flagged_word_occurrences', '', count(*) FROM m
+    UNION ALL (SELECT 'top_flagged_words', w, count(*) AS n FROM m GROUP BY w ORDER BY n DESC, w LIMIT 500)
+    UNION ALL SELECT 'top_rule_ids', 'LONG_WORD', count(*) FROM m HAVING count(*) > 0"""
+)
+def checker_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the checker's stage writes beside its rows, but for quantiles."""
+    done = pipeline.run(table(spark, sf_dir, "documents"), pipeline.build([{"name": "languagetool", "client": WordLengthChecker}]))[1]["languagetool"]
+    rows = [(s, k, n) for s, v in done.items() if s not in ("match_count_quantiles", "processing_time_s") for k, n in (v.items() if isinstance(v, dict) else [("", v)])]
+    return spark.createDataFrame(rows, "statistic string, key string, n bigint")
+
+
 # -- rules
 
 RULES = [

@@ -9,6 +9,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from corpusloom.core.workspace import cut
 from corpusloom.operators import dedup, rules
 from corpusloom.plans import pipeline
 from corpusloom.plans.config import load_config
@@ -41,7 +42,7 @@ def run_dedup(spark: SparkSession, cfg: dict) -> dict:
 
 
 def run_filter(spark: SparkSession, cfg: dict) -> dict:
-    judged = rules.judge(readers.read_jsonl(spark, cfg["input"]), cfg["filters"])
+    judged = cut(rules.judge(readers.read_jsonl(spark, cfg["input"]), cfg["filters"]), "judged")
     kept, lost = rules.split(judged)
     writers.write_jsonl(kept, cfg["survived"])
     writers.write_jsonl(lost, cfg["rejected"])

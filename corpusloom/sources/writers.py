@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import sys
+import time
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusloom.core.rows import dotted
+from corpusloom.core.workspace import filesystem
 
 FORMATS = ("parquet", "jsonl")
 
@@ -34,19 +36,26 @@ def project(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def export(df: DataFrame, output: str, columns: list[str], format: str = "parquet", compression: str = "zstd", single: bool = False) -> dict:
-    """Write the projection; returns what was written."""
+    """Write the projection; returns what was written, counted while it is."""
     if format not in FORMATS:
         raise ValueError(f"format must be one of {FORMATS}, got {format!r}")
     if not columns:
         raise ValueError("columns must be a list of at least one name")
-    out = project(df, columns)
+    began = time.perf_counter()
+    seen = Observation()
+    out = project(df, columns).observe(seen, F.count("*").alias("n"))
     if format == "jsonl":
         write_jsonl(out, output, keep_nulls=True, single=single)
         compression = None
     else:
         (out.coalesce(1) if single else out).write.mode("overwrite").option("compression", compression).parquet(output)
-    spark = df.sparkSession
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(output)
-    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    back = spark.read.parquet(output) if format == "parquet" else spark.read.text(output)
-    return {"rows_written": back.count(), "columns": list(dict.fromkeys(columns)), "format": format, "compression": compression, "output_bytes": size, "output": output}
+    fs, at = filesystem(df.sparkSession, output)
+    return {
+        "rows_written": seen.get["n"],
+        "columns": list(dict.fromkeys(columns)),
+        "format": format,
+        "compression": compression,
+        "output_bytes": fs.getContentSummary(at).getLength(),
+        "output": output,
+        "processing_time_s": round(time.perf_counter() - began, 3),
+    }

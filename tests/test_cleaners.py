@@ -36,11 +36,19 @@ def test_nfkc():
     assert cleaners.nfkc("क्ः") == "कः"  # class 0 marks stay
 
 
+def deep(text, rounds):
+    """UTF-8 read as latin-1 so many times."""
+    for _ in range(rounds):
+        text = text.encode().decode("latin-1")
+    return text
+
+
 @pytest.mark.parametrize(
     ("damaged", "clean"),
     [
         ("schÃ¶n", "schön"), ("clean text", "clean text"), ("schön", "schön"), ("cafÃ© &eacute; naïve", "café é naïve"), ("a &lt; b", "a < b"), ("<b>&lt;</b>", "<b>&lt;</b>"),
         ("“curly” ‘x’", "\"curly\" 'x'"), ("ﬂat", "flat"), ("a\r\nb\rc", "a\nb\nc"), ("\x1b[31mred\x1b[0m", "red"), ("x\x00y", "xy"), ("ＡＢ", "AB"), ("é", "é"),
+        (deep("schön", 7), "schön"), (deep("привет", 3) + " ж", "привет ж"), ("Ã©Ã x é", "éÃ x é"),
         ("Ð¿Ñ€Ð¸Ð²ÐµÑ‚", "привет"), ("привет", "привет"), ("les élèves é è", "les élèves é è"), ("", ""),
     ],
 )

@@ -50,7 +50,7 @@ def test_aligned_files(spark, tmp_path):
 def test_export(spark, tmp_path, capsys):
     df = spark.createDataFrame([(1, "x", (0.5, {"k": 2})), (2, None, None)], "id int, src string, metrics struct<a: double, t: map<string,int>>")
     out = writers.export(df, str(tmp_path / "p"), ["id", "metrics.a", "metrics.t.k", "none", "id"])
-    assert out["columns"] == ["id", "metrics.a", "metrics.t.k", "none"] and out["rows_written"] == 2 and out["output_bytes"] > 0
+    assert out["columns"] == ["id", "metrics.a", "metrics.t.k", "none"] and out["rows_written"] == 2 and out["output_bytes"] > 0 and out["processing_time_s"] > 0
     assert "more than once" in capsys.readouterr().err
     back = spark.read.parquet(str(tmp_path / "p"))
     assert [tuple(r) for r in back.orderBy("id").collect()] == [(1, 0.5, 2, None), (2, None, None, None)]
@@ -81,6 +81,36 @@ def test_pipeline_and_statistics(spark):
         pipeline.build([{"name": "sonar_cosine"}], pipeline.NEURAL)
 
 
+def test_statistics_of_stages(spark):
+    class Bars:
+        """A checker for tests: bars are typography, words of capital letters are misspelt."""
+
+        def check(self, text):
+            import re
+
+            kinds = lambda m: {"id": "BAR", "issueType": "typographical"} if m[0] == "|" else {"id": "LOUD", "issueType": "misspelling"}
+            return {"matches": [{"rule": kinds(m), "offset": m.start(), "length": len(m[0])} for m in re.finditer(r"\||[A-Z]{3,}", text)]}
+
+    df = spark.createDataFrame([(1, "ABC | ABC"), (2, "DEF &amp; пасьля"), (3, ""), (4, None)], "id int, text string")
+    specs = [{"name": "languagetool", "client": Bars, "word_freq_top": 1}, {"name": "ftfy"}, {"name": "wikificator"}]
+    done, s = pipeline.run(df, pipeline.build(specs))
+    assert {r.id: r.text for r in done.collect()} == {1: "ABC | ABC", 2: "DEF & пасля", 3: "", 4: None} and set(done.columns) == {"id", "text", "metrics"}
+    one = s["languagetool"]
+    assert one["issue_type_totals"] == {"misspelling": 3, "typographical": 1} and one["rows_with_matches"] == 2 and one["excluded_proper_nouns_total"] == 0
+    assert (one["distinct_flagged_words"], one["total_flagged_word_occurrences"], one["top_flagged_words"], one["top_rule_ids"]) == (2, 3, {"abc": 2}, {"LOUD": 3})
+    assert one["match_count_quantiles"] == {"p10": 0, "p50": 1, "p90": 3, "p99": 3}
+    assert s["ftfy"]["explanation_kinds"] == {"apply": 1} and sum(s["wikificator"]["rule_fire_counts"].values()) == 1
+    assert "top_rule_ids" not in pipeline.run(df, pipeline.build([{"name": "languagetool", "client": Bars, "track_word_freq": False}]))[1]["languagetool"]
+
+
+def test_mean_quality(spark):
+    stage = lambda: pipeline.build([{"name": "blaser", "encode": lambda t: [[len(x)] for x in t], "score": lambda a, b: [x[0] + y[0] for x, y in zip(a, b)]}], pipeline.NEURAL)
+    df = spark.createDataFrame([("a", "b"), ("", "abc"), (None, "")], "src string, tgt string")
+    one = pipeline.run(df, stage())[1]["blaser"]
+    assert one["rows_total"] == 3 and one["mean"] == pytest.approx(5 / 3) and one["score_quantiles"]["p50"] == 2.0
+    assert "mean" not in pipeline.run(df.limit(0), stage())[1]["blaser"]
+
+
 def test_commands(spark, tmp_path):
     text = "a sentence that is long enough to be compared with another one"
     source = tmp_path / "in.jsonl"

@@ -102,6 +102,7 @@ def test_metrics_grow_and_reasons_append(spark):
     df = with_reasons(with_reasons(df, x=F.lit(True)), y=F.lit(None).cast("boolean"), x=F.lit(True))
     r = df.first()
     assert r.metrics.asDict() == {"b": 2, "a": 3} and r.removal_reasons == ["x", "x"]
+    assert [r[0] for r in df.select(dotted(df, "metrics.c.d", "none")).distinct().collect()] == ["none"]
     assert dotted(df, "metrics.b") is not None and dotted(df, "metrics.c") is None and dotted(df, "id.x") is None
 
 
