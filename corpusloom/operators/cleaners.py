@@ -63,7 +63,7 @@ _BREAKS = re.compile("\r\n|[\r\x85  ]")
 _SINGLE, _DOUBLE = re.compile("[ʼ‘-‛]"), re.compile("[“-‟]")
 # Latin ligatures and digraph letters.
 _LIGATURES = {"Ĳ": "IJ", "ĳ": "ij", "ŉ": "ʼn", "Ǆ": "DŽ", "ǅ": "Dž", "ǆ": "dž", "Ǉ": "LJ", "ǈ": "Lj", "ǉ": "lj", "Ǌ": "NJ", "ǋ": "Nj", "ǌ": "nj", "ﬀ": "ff", "ﬁ": "fi", "ﬂ": "fl", "ﬃ": "ffi", "ﬄ": "ffl", "ﬅ": "ſt", "ﬆ": "st"}
-_LIGATURE = str.maketrans(_LIGATURES)
+_LIGATURE = re.compile("[" + "".join(_LIGATURES) + "]")
 
 
 def _sloppy(codec: str) -> dict[int, int]:
@@ -146,7 +146,7 @@ def repair(text: str) -> tuple[str, list[str]]:
         else:
             break
     step("transcode", re.sub("[\x80-\x9f]", lambda m: m[0].encode("latin-1").decode("cp1252", "ignore") or m[0], text) if re.search("[\x80-\x84\x86-\x9f]", text) else text)
-    step("apply", text.translate(_LIGATURE))
+    step("apply", _LIGATURE.sub(lambda m: _LIGATURES[m[0]], text))
     step("apply", re.sub("[！-￮　]", lambda m: unicodedata.normalize("NFKC", m[0]), text))
     step("apply", _DOUBLE.sub('"', _SINGLE.sub("'", text)))
     step("apply", _BREAKS.sub("\n", text))
