@@ -53,8 +53,8 @@ LEFT, BODY, RIGHT = 24, 48, 16
 RECALL, PRECISION, GRID = 0.99, 0.9, 1024
 #: Windows of a shard, rounds, the least steps of a round, windows of each label in a step, windows of a rare label in each shard.
 SHARD, ROUNDS, STEPS, SHARES, RARE = 1 << 15, 8, 56, {1: 32, 0: 32, -1: 64}, 64
-#: Windows that a task holds before it hands them on.
-HELD = 1 << 17
+#: Windows that a task holds before it hands them on to the aggregation, which merges those of the whole task.
+HELD = 1 << 14
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -284,14 +284,11 @@ def labelled_windows(documents: DataFrame, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: dict[str, int] = {}
-        words: dict[str, tuple[int, str]] = {}
+        words: dict[str, str] = {}  # checksum of the text and window
 
         def flush() -> pa.RecordBatch:
-            w = [*got, *(w for _, w in words.values())]
-            out = pa.record_batch(
-                [pa.array(w, pa.string()), pa.array([*got.values(), *[-1] * len(words)], pa.int32()), pa.array([*[0] * len(got), *(h for h, _ in words.values())], pa.int64())],
-                names=["w", "label", "h"],
-            )
+            w = pa.array([*("0" * 8 + w for w in got), *words.values()], pa.string())
+            out = pa.record_batch([w, pa.array([*got.values(), *[-1] * len(words)], pa.int32())], names=["w", "label"])
             got.clear()
             words.clear()
             return out
@@ -316,23 +313,23 @@ def labelled_windows(documents: DataFrame, text_col: str) -> DataFrame:
                             for a, z in parts(s, e):
                                 got.setdefault(window(text, a, z), 0)
                     apart = sorted([*((s, e) for s, _, e in spans), *others])
-                    h = zlib.crc32(text.encode())
+                    h = f"{zlib.crc32(text.encode()):08x}"
                     for m in plain_words(text, apart):
                         old = words.get(m[0])
-                        if old is None or h <= old[0]:
-                            w = window(text, *m.span())
-                            if old is None or (h, w) < old:
-                                words[m[0]] = (h, w)
+                        if old is None or h <= old[:8]:
+                            new = h + window(text, *m.span())
+                            words[m[0]] = new if old is None else min(old, new)
                     if len(got) + len(words) >= HELD:
                         yield flush()
         yield flush()
 
-    found = documents.select(F.col(f"`{text_col}`").alias("t")).where("t is not null").mapInArrow(run, "w string, label int, h bigint")
+    found = documents.select(F.col(f"`{text_col}`").alias("t")).where("t is not null").mapInArrow(run, "w string, label int")
     plain = F.col("label") < 0
     # a word is what the network sees of it
-    key = F.when(plain, F.substring("w", LEFT + 1, BODY)).otherwise(F.col("w"))
-    one = found.groupBy(plain.alias("plain"), key.alias("key")).agg(F.min(F.struct((-F.col("label")).alias("no"), "h", "w")).alias("one"))
-    return one.select("one.w", (-F.col("one.no")).alias("label"), (F.pmod(F.xxhash64("one.w"), F.lit(5)) == 0).alias("held"))
+    key = F.when(plain, F.substring("w", 8 + LEFT + 1, BODY)).otherwise(F.col("w"))
+    one = found.groupBy(plain.alias("plain"), key.alias("key")).agg(F.min(F.struct((-F.col("label")).alias("no"), "w")).alias("one"))
+    one = one.select(F.substring("one.w", 9, LEFT + BODY + RIGHT).alias("w"), (-F.col("one.no")).alias("label"))
+    return one.withColumn("held", F.pmod(F.xxhash64("w"), F.lit(5)) == 0)
 
 
 def shards(windows: DataFrame, counts: dict[int, int], size: int) -> DataFrame:
