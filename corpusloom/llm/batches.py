@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,6 +33,24 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = BATCH_BYTES) -> Iter
     yield batch.slice(start)
 
 
+def release() -> None:
+    """Gives memory that is free back to the system: Arrow's pool and, where the C library can, its heap."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """run, with its task's memory given back at the end: Spark keeps a worker for other stages, beside their own ones."""
+
+    @functools.wraps(run)
+    def inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return inner
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """UTF-8 of each text; null is empty."""
     return [b"" if x is None else x for x in batch.column(column).cast(pa.binary()).to_pylist()]

@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from corpusloom.core.components import connected_components, join_split
 from corpusloom.core.workspace import cut
-from corpusloom.llm.batches import map_batches, slices, texts
+from corpusloom.llm.batches import map_batches, releasing, slices, texts
 from corpusloom.llm.words import WordHashes, mix, shingle_set
 
 #: A unit of step 3 holds two blocks of about so many shingles (8 bytes each) and sets at most.
@@ -211,7 +211,7 @@ def _signature_rows(documents: DataFrame, n: int, percent: int, text_col: str) -
                 if sigs:
                     yield _tie_rows(sigs, names)
 
-    return documents.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(run, "key bigint, node bigint, tied bigint")
+    return documents.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(releasing(run), "key bigint, node bigint, tied bigint")
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +237,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _met(rows: DataFrame) -> DataFrame:
     """Distinct (a, b) of nodes that share a key with a common hub."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_meet, "a bigint, b bigint").distinct()
+    return rows.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(releasing(_meet), "a bigint, b bigint").distinct()
 
 
 def candidate_ties(documents: DataFrame, n: int, percent: int, text_col: str) -> DataFrame:
@@ -247,8 +247,8 @@ def candidate_ties(documents: DataFrame, n: int, percent: int, text_col: str) ->
 # -- step 2
 
 
-def _counted(sets: DataFrame) -> np.ndarray:
-    """How often shingles are in the sets, by COUNTERS remainders of their hash."""
+def _counted(documents: DataFrame, members: DataFrame, n: int, id_col: str, text_col: str) -> np.ndarray:
+    """How often shingles are in the members' sets, by COUNTERS remainders of their hash."""
     size = COUNTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +260,7 @@ def _counted(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(n)
         yield pa.record_batch([pa.array(at), pa.array(n[at])], names=["at", "n"])
 
-    rows = sets.mapInArrow(run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    rows = _read_sets(documents, members, n, id_col, text_col, run, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(size, np.int64)
     out[rows["at"].to_numpy()] = rows["n"].to_numpy()
     return out
@@ -275,7 +275,7 @@ def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
 
 def _parted(documents: DataFrame, members: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """members of large clusters, each cluster parted into the components of the ties by rare shingles."""
-    held = documents.sparkSession.sparkContext.broadcast(_counted(_read_sets(documents, members, n, id_col, text_col)))
+    held = documents.sparkSession.sparkContext.broadcast(_counted(documents, members, n, id_col, text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -283,7 +283,7 @@ def _parted(documents: DataFrame, members: DataFrame, n: int, percent: int, id_c
             if keys:
                 yield _tie_rows(keys, b.column("node").to_pylist())
 
-    rows = _read_sets(documents, members, n, id_col, text_col).mapInArrow(run, "key bigint, node bigint, tied bigint")
+    rows = _read_sets(documents, members, n, id_col, text_col, run, "key bigint, node bigint, tied bigint")
     # a set without a tie links with none
     return members.join(connected_components(_met(rows)), "node").withColumn("cluster", F.xxhash64("cluster", "component")).drop("component")
 
@@ -415,14 +415,15 @@ def _node_filter(nodes: DataFrame) -> np.ndarray:
         at = np.flatnonzero(bits)
         yield pa.record_batch([pa.array(at), pa.array(bits[at].view(np.int64))], names=["at", "bits"])
 
-    rows = nodes.select("node").mapInArrow(run, "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
+    rows = nodes.select("node").mapInArrow(releasing(run), "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toPandas()
     out = np.zeros(words, np.uint64)
     out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return out
 
 
-def _read_sets(documents: DataFrame, members: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(rep, node, grams): the shingle sets of the documents that stand for the members' nodes."""
+def _read_sets(documents: DataFrame, members: DataFrame, n: int, id_col: str, text_col: str, work: Callable | None = None, schema: str = "") -> DataFrame:
+    """(rep, node, grams): the shingle sets of the documents that stand for the members' nodes; or what work makes of their
+    batches, in the same worker: a step of its own would take a second one for each task."""
     held = documents.sparkSession.sparkContext.broadcast(_node_filter(members.select(F.xxhash64("rep").alias("node"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -440,7 +441,9 @@ def _read_sets(documents: DataFrame, members: DataFrame, n: int, id_col: str, te
 
     kind = documents.schema[id_col].dataType.simpleString()
     read = documents.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"), F.xxhash64(F.col(f"`{id_col}`")).alias("h")).where("i is not null")
-    return read.mapInArrow(run, f"rep {kind}, node bigint, grams binary")
+    if work is not None:
+        return read.mapInArrow(releasing(lambda batches: work(run(batches))), schema)
+    return read.mapInArrow(releasing(run), f"rep {kind}, node bigint, grams binary")
 
 
 _KEY = ["cluster", "j", "x", "k", "y"]
@@ -506,7 +509,7 @@ def _classes(documents: DataFrame, n: int, percent: int, id_col: str, text_col:
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     units = _dealt(members, total, most, percent).join(_read_sets(documents, members, n, id_col, text_col), ["node", "rep"])
     units = units.select(*_KEY, "node", "grams", "copies", "side").repartition(parts, *_KEY).sortWithinPartitions(*_KEY, "node")
-    links = cut(units.mapInArrow(_units(percent), "a bigint, b bigint, degree bigint"), "links")
+    links = cut(units.mapInArrow(releasing(_units(percent)), "a bigint, b bigint, degree bigint"), "links")
     component = connected_components(links)
     degree = links.groupBy(F.col("b").alias("node")).agg(F.sum("degree").alias("degree"))
     placed = cut(rep.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")), "placed")
@@ -577,7 +580,7 @@ def _repeated(rows: DataFrame, first: DataFrame, names: list[str], key: str, tex
                 yield pa.record_batch([*batch.columns, node], names=[*batch.schema.names, "node"])
 
     schema = T.StructType([*rows.select(*names).schema.fields, T.StructField("node", T.LongType())])
-    rows = cut(rows.select(*names).mapInArrow(run, schema).withColumn("digest", F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)), "repeated")
+    rows = cut(rows.select(*names).mapInArrow(releasing(run), schema).withColumn("digest", F.sha2(F.to_json(F.struct(*names), {"ignoreNullFields": "false"}), 256)), "repeated")
     chosen = rows.where("node is not null").groupBy(key, "node").agg(F.min("digest").alias("digest"))
     chosen = chosen.join(first.select(F.col("id").alias(key), "node").distinct(), [key, "node"])
     # rows alike in all columns are one row for the digest: one of them is taken

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.batches import map_batches, slices, texts
+from corpusloom.llm.batches import map_batches, releasing, slices, texts
 from corpusloom.llm.words import SPACES
 
 SYMBOLS = b"#*$%&|<>"
@@ -172,4 +172,4 @@ def keep_passing(documents: DataFrame, rules: tuple[Rule, ...] = RULES, text_col
             keep = [not any(r.rejects(d) for r in rules) for d in map(Doc, raws)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(releasing(run), documents.schema)

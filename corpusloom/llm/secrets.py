@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.core.workspace import cut_stage, drop
-from corpusloom.llm.batches import slices
+from corpusloom.llm.batches import release, releasing, slices
 
 #: Fixed patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -160,6 +160,11 @@ class CharNet:
         h = np.maximum(act[np.arange(len(x))[:, None], pick, f[None, :]], 0)
         return pick, f, h, h @ self.out + self.out_bias[0]
 
+    @classmethod
+    def codes(cls, windows: list[str]) -> np.ndarray:
+        """encode in bytes, some thousand windows at a time: it takes eight times the memory."""
+        return np.concatenate([np.empty((0, LEFT + BODY + RIGHT), np.uint8), *(cls.encode(windows[i : i + 4096]).astype(np.uint8) for i in range(0, len(windows), 4096))])
+
     def logits(self, windows: list[str]) -> np.ndarray:
         return np.concatenate([self._forward(self.encode(windows[i : i + 256]))[-1] for i in range(0, len(windows), 256)]) if windows else np.empty(0)
 
@@ -323,7 +328,7 @@ def labelled_windows(documents: DataFrame, text_col: str) -> DataFrame:
                         yield flush()
         yield flush()
 
-    found = documents.select(F.col(f"`{text_col}`").alias("t")).where("t is not null").mapInArrow(run, "w string, label int")
+    found = documents.select(F.col(f"`{text_col}`").alias("t")).where("t is not null").mapInArrow(releasing(run), "w string, label int")
     plain = F.col("label") < 0
     # a word is what the network sees of it
     key = F.when(plain, F.substring("w", 8 + LEFT + 1, BODY)).otherwise(F.col("w"))
@@ -340,8 +345,11 @@ def shards(windows: DataFrame, counts: dict[int, int], size: int) -> DataFrame:
 
     def pack(key: tuple, rows: pa.Table) -> pa.Table:
         both = sorted(zip(rows.column("w").to_pylist(), rows.column("label").to_pylist(), strict=True))
-        codes = CharNet.encode([w for w, _ in both]).astype(np.uint8).tobytes()
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "codes": pa.array([codes], pa.binary()), "labels": pa.array([np.array([k for _, k in both], np.int8).tobytes()], pa.binary())})
+        codes = CharNet.codes([w for w, _ in both]).tobytes()
+        out = pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "codes": pa.array([codes], pa.binary()), "labels": pa.array([np.array([k for _, k in both], np.int8).tobytes()], pa.binary())})
+        del both, codes
+        release()
+        return out
 
     copies = F.coalesce(*[F.when(F.col("label") == k, F.lit(t)) for k, t in times.items()])
     dealt = windows.select("w", "label", F.explode(F.sequence(F.lit(0), copies - 1)).alias("copy"))
@@ -362,7 +370,7 @@ def train_round(net: CharNet, table: DataFrame, turn: int) -> None:
                 own.train_shard(np.frombuffer(row["codes"], np.uint8).reshape(len(labels), -1), labels, turn, row["shard"])
                 yield pa.record_batch([pa.array([np.rint(own.flat() * 2.0**40).astype(np.int64)], pa.list_(pa.int64()))], names=["p"])
 
-    each = table.mapInArrow(run, "p array<bigint>").select(F.posexplode("p").alias("at", "x"))
+    each = table.mapInArrow(releasing(run), "p array<bigint>").select(F.posexplode("p").alias("at", "x"))
     rows = sorted(each.groupBy("at").agg(F.sum("x"), F.count("x")).collect())
     net.put(np.array([r[1] / r[2] for r in rows]) * 2.0**-40)
     held.destroy()
@@ -377,7 +385,7 @@ def held_logits(net: CharNet, windows: DataFrame) -> list[tuple[int, int, int]]:
             z = np.floor(held.value.logits(batch.column("w").to_pylist()) * GRID).astype(np.int64)
             yield pa.record_batch([pa.array(z), batch.column("label")], names=["z", "label"])
 
-    cells = windows.select("w", (F.col("label") > 0).cast("int").alias("label")).mapInArrow(run, "z bigint, label int")
+    cells = windows.select("w", (F.col("label") > 0).cast("int").alias("label")).mapInArrow(releasing(run), "z bigint, label int")
     rows = sorted(tuple(r) for r in cells.groupBy("z", "label").count().collect())
     held.destroy()
     return rows
@@ -448,7 +456,7 @@ def scan(documents: DataFrame, net: CharNet | None = None, id_col: str = "doc_id
 
     kind = documents.schema[id_col].dataType.simpleString()
     read = documents.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("t"))
-    return read.mapInArrow(run, f"`{id_col}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_model bigint, base_spans string, spans string")
+    return read.mapInArrow(releasing(run), f"`{id_col}` {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_model bigint, base_spans string, spans string")
 
 
 def redact_text(text: str, spans: list[tuple[int, int, int]], mark: str = "[SECRET]") -> str:
@@ -483,4 +491,4 @@ def redact(documents: DataFrame, net: CharNet | None = None, text_col: str = "te
                 cols[long] = pa.array([w if a == b or b is None else len(b) for w, a, b in zip(was, old, new, strict=True)], batch.column(long).type)
             yield pa.record_batch(cols, schema=batch.schema)
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(releasing(run), documents.schema)

@@ -78,6 +78,22 @@ def test_large_clusters_are_dealt_into_blocks(spark, monkeypatch):
     assert result(spark, rows, 3, 90) == brute(rows, 3, 90)
 
 
+def test_no_task_takes_two_workers(spark, monkeypatch):
+    kind, chained = type(spark.range(1)), []
+    plain = kind.mapInArrow
+
+    def watched(self, *args, **more):
+        same_stage = self._jdf.queryExecution().executedPlan().toString().split("Exchange")[0]
+        chained.append("MapInArrow" in same_stage)
+        return plain(self, *args, **more)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    monkeypatch.setattr(J, "BLOCK_SETS", 5)  # large clusters, to be parted
+    rows = corpus(3, 3, 14)
+    assert result(spark, rows, 3, 90) == brute(rows, 3, 90)
+    assert len(chained) > 5 and not any(chained)
+
+
 def test_signatures_never_miss_a_link():
     rng = random.Random(5)
     for percent in (80, 90):

@@ -3,6 +3,8 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -12,6 +14,7 @@ from corpusloom.llm import ann as A
 from corpusloom.llm import lang_id as L
 from corpusloom.llm import ppm as P
 from corpusloom.llm import secrets as S
+from corpusloom.llm.batches import releasing
 
 # -- language identification
 
@@ -441,6 +444,31 @@ def test_every_window_is_taught_or_held_back(spark):
     assert {bytes(c) for c in seen} == {bytes(c) for c in S.CharNet.encode([r.w for r in got if not r.held]).astype(np.uint8).tolist()}
 
 
+def test_a_task_gives_its_memory_back():
+    """What a task has freed is not held by its worker, even where blocks in use lie behind it."""
+    held = lambda: int(re.search(r"Pss_Anon:\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())[1]) / 1024
+    kept = []
+
+    def run(batches):
+        blocks = [np.ones(5000) for _ in range(4000)]  # 160 MB
+        kept.append(blocks[-1])
+        yield from batches
+
+    before = held()
+    assert list(releasing(run)([1, 2])) == [1, 2]
+    assert held() - before < 40
+
+
+def test_a_shard_is_encoded_in_little_memory():
+    windows = [f"{k:088d}" for k in range(30_000)]
+    tracemalloc.start()
+    got = S.CharNet.codes(windows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.dtype == np.uint8 and np.array_equal(got, S.CharNet.encode(windows)) and S.CharNet.codes([]).shape == got[:0].shape
+    assert peak < 6 * got.nbytes  # encode: 8 bytes each in the result alone
+
+
 def test_a_rare_label_reaches_each_shard(spark):
     rows = [(f"{k:<88}", 1 if k < 30 else 0 if k < 300 else -1) for k in range(5000)]
     dealt = S.shards(spark.createDataFrame(rows, "w string, label int"), {1: 30, 0: 270, -1: 4700}, 500).collect()
