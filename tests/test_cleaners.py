@@ -57,6 +57,38 @@ def test_repair(damaged, clean):
     assert got == clean and bool(steps) == (damaged != clean)
 
 
+@pytest.mark.parametrize("text", ["Èéé.", "La Èèêtre", "ÍñíÓñó", "Úžas", "Úžasný", "Spaß”", "„Spaß“ é", "mangé…» ici"])
+def test_repair_leaves_good_texts(text):
+    assert cleaners.repair(text) == (text.replace("”", '"').replace("„", '"').replace("“", '"'), ["apply"] if {*"”„“"} & {*text} else [])
+    assert cleaners.repair(text + " schÃ¶n cafÃ©")[0] == cleaners.repair(text)[0] + " schön café"
+
+
+@pytest.mark.parametrize("page", ["latin-1", "cp1252", "cp1251", "cp1250", "mac_roman"])
+@pytest.mark.parametrize("text", ["schön", "привет, свет", "“да”", "日本語", "žluťoučký"])
+def test_repair_reads_each_code_page(text, page):
+    try:
+        damaged = text.encode().decode(page)
+    except UnicodeDecodeError:
+        return
+    assert cleaners.repair(damaged)[0] == text.replace("“", '"').replace("”", '"')
+
+
+def test_registered_mojibake_of_good_texts(spark, tmp_path):
+    """Short texts that are UTF-8 in macroman: each query against its SQL."""
+    import duckdb
+
+    from corpusloom.plans import catalogue
+
+    rows = [(i, t) for i, t in enumerate(t for t in ("Èéé.", "ÍñíÓñó", "Úžas", "x") for _ in range(5))]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(path)
+    for name in ("clean_mojibake", "mojibake_kinds"):
+        with duckdb.connect() as c:
+            c.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+            want = c.execute(catalogue.ORACLE_SQL[name]).fetchall()
+        assert sorted(map(tuple, catalogue.QUERIES[name](spark, str(tmp_path)).collect())) == sorted(want)
+
+
 def test_sparse_output_and_flag(spark):
     df = spark.createDataFrame([(1, "x [1]"), (2, "y"), (3, None)], "i int, text string")
     got = {r.i: (r.text, r.out, r.changed) for r in cleaners.clean_citations(df, output_field="out", flag="changed").collect()}
