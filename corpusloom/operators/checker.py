@@ -12,14 +12,16 @@ import subprocess
 import threading
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.core.batches import parts, release
 from corpusloom.core.rows import require, with_metrics
 from corpusloom.functions.pytext import WHITE, token_count
 
 MATCHES = "array<struct<rule_id: string, issue_type: string, offset: int, length: int>>"
+_ARROW_MATCHES = pa.list_(pa.struct([("rule_id", pa.string()), ("issue_type", pa.string()), ("offset", pa.int32()), ("length", pa.int32())]))
 
 
 class LineChecker:
@@ -75,15 +77,17 @@ def read_matches(payload: dict) -> list[dict]:
 def checked(text: Column, client: Callable[[], object]) -> Column:
     """Matches of each text, null texts having none; ``client`` makes one client a task (with check() and close())."""
 
-    @F.pandas_udf(MATCHES)
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(MATCHES)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         one = client()
         try:
-            for texts in batches:
-                yield pd.Series([[] if t is None else read_matches(one.check(t)) for t in texts])
+            for batch in batches:
+                for texts in parts(batch):
+                    yield pa.array([[] if t is None else read_matches(one.check(t)) for t in texts.to_pylist()], _ARROW_MATCHES)
         finally:
             if hasattr(one, "close"):
                 one.close()
+            release()
 
     return run(text)
 

@@ -230,3 +230,20 @@ def test_registered_dedup_equals_brute_force_minhash(spark, tmp_path):
 
 def test_json_round_trip_of_rules():
     assert json.loads(json.dumps(sorted(rules.LIBRARY))) == sorted(rules.LIBRARY)
+
+
+def test_few_texts_are_python_strings_at_once(spark):
+    """Long texts are worked on some at a time, however many rows a batch has."""
+    import pyarrow as pa
+
+    from corpusloom.core.batches import PART_BYTES, over_texts, parts
+
+    long = "é" * 100_000
+    df = spark.range(60).coalesce(1).select(F.when(F.col("id") % 7 != 0, F.concat(F.lit(long), F.col("id").cast("string"))).alias("t"), "id")
+    held = over_texts("struct<n: int, size: int>", lambda texts: pa.array([{"n": len(texts), "size": len(t or "")} for t in texts], pa.struct([("n", pa.int32()), ("size", pa.int32())])))
+    got = df.select("id", held(F.col("t")).alias("x")).select("id", "x.*").collect()
+    assert sorted(r.id for r in got) == list(range(60)) and max(r.n for r in got) < 10
+    assert all(r.size == (100_000 + len(str(r.id)) if r.id % 7 else 0) for r in got)
+    texts = pa.array(["a" * PART_BYTES, "b" * (PART_BYTES + 1), None, "", "c", "d" * (PART_BYTES - 1), "e"])
+    assert [len(p) for p in parts(texts)] == [1, 1, 4, 1] and pa.concat_arrays(list(parts(texts.slice(1)))).equals(texts.slice(1))
+    assert list(parts(texts.slice(0, 0))) == []
