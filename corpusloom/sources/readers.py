@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.pytext import strip, token_count
+from corpusloom.functions.pytext import has_tokens, strip
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -25,7 +25,7 @@ def parse_pairs(lines: DataFrame, min_words: int = 3, src_lang: str | None = Non
     rows = lines.select(line.alias("line"), parts.alias("p")).where(F.length("line") > 0)
     whole = F.size("p") == 4
     at = lambda i: F.when(whole, F.get("p", F.lit(i)))
-    short = F.least(token_count(at(1)), token_count(at(3))) < min_words
+    short = ~(has_tokens(at(1), min_words) & has_tokens(at(3), min_words))
     status = F.when(~whole, "malformed").when(short, "too_short").otherwise("written")
     rows = rows.select(status.alias("status"), at(0).alias("a"), at(1).alias("src"), at(2).alias("b"), at(3).alias("tgt"))
     number = lambda c: F.when(F.col("status") == "written", F.col(c).cast("bigint"))
@@ -47,10 +47,11 @@ def zip_lines(src: DataFrame, tgt: DataFrame, min_words: int = 3, src_lang: str
     counts = [d.count() for d in (src, tgt)]
     if counts[0] != counts[1]:
         raise ValueError(f"line count mismatch: {counts[0]} and {counts[1]}")
-    clean = lambda d, name: d.select("n", strip(F.regexp_replace("value", "^\\uFEFF", "")).alias(name))
+    body = F.when(F.startswith("value", F.lit("\ufeff")), F.substr("value", F.lit(2))).otherwise(F.col("value"))
+    clean = lambda d, name: d.select("n", strip(body).alias(name))
     rows = clean(src, "src").join(clean(tgt, "tgt"), "n")
-    status = F.when((F.length("src") == 0) | (F.length("tgt") == 0), "malformed")
-    status = status.when(F.least(token_count(F.col("src")), token_count(F.col("tgt"))) < min_words, "too_short").otherwise("written")
+    status = F.when((F.col("src") == "") | (F.col("tgt") == ""), "malformed")
+    status = status.when(~(has_tokens(F.col("src"), min_words) & has_tokens(F.col("tgt"), min_words)), "too_short").otherwise("written")
     return _languages(rows.select(status.alias("status"), "n", "src", "tgt"), src_lang, tgt_lang)
 
 
