@@ -138,6 +138,23 @@ def test_needles_never_hide_a_match():
                 assert needle in text
 
 
+def test_needs_never_hide_a_match():
+    """Each group by all of its rules, and by those whose needs are met, over random texts; few rules are tried on a plain text."""
+    import random
+
+    bits = [*"аоеіўАВЕІмгтcCСaxXFIV015 \t\n\r '’ʼ\"«»„“.,;:!?()[]<>-–—+−%‰°^*№§&~=|\u00a0\u00ad٣", *"      ", "&copy;", "&HELLIP;", "&hellip;", "&TRADE;", "(TM)", "...", "+-", "--", "~=", "&quot;", "<sup>2</sup>", "&SUP3;", "^2", "^3", "<<a", "b>>"]
+    bits += ["№№", " \r\n", "гг.", "стст.", "млн", "трлн", "тыс", "ISBN: 123456789", "1918", "1 ", "°C ", " C,", " F.", "А.", "Пу", "sub>", "abc"]
+    rnd = random.Random(5)
+    for _ in range(20_000):
+        text = "".join(rnd.choices(bits, k=rnd.randint(1, 20)))
+        for name in ("core", "dashes", "nbsp", "collapse"):
+            for pattern, _, needs in typography._compiled(name):
+                assert typography._may_match(text, set(text), needs) or not pattern.search(text), (text, pattern.pattern)
+    plain = "Plain words, more of them; and a number, 12, at the end.\nA line."
+    tried = [p.pattern for name in ("core", "dashes", "nbsp") for p, _, needs in typography._compiled(name) if typography._may_match(plain, set(plain), needs)]
+    assert tried == []
+
+
 def test_lexicon_files(tmp_path):
     path = tmp_path / "pairs.txt"
     path.write_text("# c\nа=б\nа=в\nг = д\n\nx\nе=е\n", encoding="utf-8")
