@@ -265,3 +265,18 @@ def test_strip_and_has_tokens(spark):
     for t, r in zip(texts, got, strict=True):
         assert r.s == (None if t is None else t.strip()) and r.n == len((t or "").split())
         assert [r[f"h{n}"] for n in range(5)] == [r.n >= n for n in range(5)]
+
+
+def test_signature_equals_its_formula():
+    import hashlib
+
+    from corpusloom.operators import dedup
+
+    a, b = dedup.permutations(128)
+    for n in (1, 3, 5, 6, 400, 2000):
+        words = dedup.tokens(" ".join(f"Wörd{i * i % 977}," for i in range(n)))
+        assert words == [f"wörd{i * i % 977}" for i in range(n)]
+        grams = {" ".join(words[i : i + 5]) for i in range(max(1, n - 4))}
+        h = [int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % dedup.PRIME for g in grams]
+        assert dedup.signature(words, 5, 128).tolist() == [min((x * y + z) % dedup.PRIME for y in h) for x, z in zip(a.tolist(), b.tolist(), strict=True)]
+    assert dedup.signature([], 5, 128) is None
